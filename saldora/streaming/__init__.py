@@ -1,0 +1,5 @@
+"""Intentionally empty: every input of this workload is a static snapshot.
+
+There is no watermark, no event-time window and no stateful operator to offer;
+see the README section on what is not built.
+"""
