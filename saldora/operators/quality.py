@@ -267,7 +267,8 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     for i, f in enumerate(df.schema):
         c = quoted(f.name)
         numeric = isinstance(f.dataType, T.NumericType)
-        distinct = F.approx_count_distinct(c, 0.02) if approx else F.count_distinct(c)
+        sketch = F.hll_sketch_agg(c.cast("string"), 14)
+        distinct = F.hll_sketch_estimate(sketch) if approx else F.count_distinct(c)
         aggs += [F.count(c).alias(f"n{i}"), distinct.alias(f"d{i}")]
         if numeric:
             aggs += [

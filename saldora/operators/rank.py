@@ -87,10 +87,16 @@ def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame)
         df.filter(F.col(value).isNotNull()).select(*keys, value), windows, keys
     ).withColumn("__v", F.least(F.greatest(F.col(value), F.col("lo")), F.col("hi")))
     # Equal steps on the arcsinh scale: monotone, and heavy tails do not fill one bucket.
+    # Rows below and above the bracket collapse into one row each, in buckets of their own.
     lo, hi, at = safe_asinh("lo"), safe_asinh("hi"), safe_asinh("__v")
     step = F.when(hi > lo, F.floor((at - lo) / (hi - lo) * p)).otherwise(F.lit(0))
+    bucket = (
+        F.when(F.col(value) < F.col("lo"), F.lit(-1))
+        .when(F.col(value) > F.col("hi"), F.lit(p))
+        .otherwise(F.least(step, F.lit(p - 1)))
+    )
     collapsed = (
-        rows.withColumn("__b", F.least(step, F.lit(p - 1)).cast("int"))
+        rows.withColumn("__b", bucket.cast("int"))
         .groupBy(*slot_keys, "rmin", "rmax", "__b", "__v")
         .agg(F.count(F.lit(1)).alias("ties"))
     )

@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saldora.operators.rank import (
     group_median, rank_edges, running_sums, values_at_ranks,
@@ -40,7 +41,7 @@ def chi2_sf(x: float, dof: int) -> float:
     return min(1.0, math.erfc(math.sqrt(h)) + sum(math.exp(t - h) for t in terms))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(s) else chi2_sf(float(s), int(d)) for s, d in zip(stat, dof)],
@@ -48,7 +49,7 @@ def _chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _normal_p(z: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna(v) else min(1.0, math.erfc(float(v) / math.sqrt(2.0))) for v in z],
