@@ -141,7 +141,7 @@ add("f7_stratified_split_campaign",
 add("f8_stratified_folds",
     lambda s, d: ft.stratified_folds(a_split(s, d)[0], "label", "customer_id").select("customer_id", "label", "fold"),
     with_roles(A_SPLIT, "SELECT customer_id, label, (ntile(5) OVER (PARTITION BY label ORDER BY h, customer_id) - 1)::INT AS fold FROM train"))
-add("f9_cross_validation", lambda s, d: md.cv_summary(md.cross_validate(a_split(s, d)[0], ft.TRACK_A, FOLDS, TREES)))
+add("f9_cross_validation", lambda s, d: md.cv_summary(md.cross_validate(a_split(s, d)[0], ft.TRACK_A, FOLDS, TREES, names=[md.TREE, md.FOREST])))
 add("f10_class_weights", lambda s, d: _r(ft.class_weights(a_split(s, d)[0]), 8, "weight"),
     with_roles(A_SPLIT, f"SELECT label, count(*) AS n, {r('(SELECT count(*) FROM train)::DOUBLE / ((SELECT count(DISTINCT label) FROM train) * count(*))', 8)} AS weight FROM train GROUP BY 1"))
 
@@ -149,7 +149,11 @@ add("f10_class_weights", lambda s, d: _r(ft.class_weights(a_split(s, d)[0]), 8,
 def _fitted(s, d, names=None, track="a", trees=TREES):
     train, test = a_split(s, d) if track == "a" else b_split(s, d)
     spec = ft.TRACK_A if track == "a" else ft.TRACK_B
-    return md.fit_models(train, spec, trees, names=names), test
+    train = train.persist()
+    try:
+        return md.fit_models(train, spec, trees, names=names), test
+    finally:
+        train.unpersist()
 
 
 def _quality(name, track="a"):
@@ -177,8 +181,8 @@ def f15(s, d):
     """Preprocessing and classifier applied as one unit to raw test rows, both tracks."""
     parts = []
     for t in "ab":
-        fitted, test = _fitted(s, d, [md.LOGISTIC], t)
-        parts.append(fitted[md.LOGISTIC].score(test).agg(
+        fitted, test = _fitted(s, d, [md.TREE], t)
+        parts.append(fitted[md.TREE].score(test).agg(
             F.count(F.lit(1)).alias("scored"), F.avg("prob").alias("avg_prob")).select(F.lit(t).alias("track"), "scored", "avg_prob"))
     return parts[0].unionByName(parts[1])
 
@@ -221,7 +225,8 @@ add("f17_feature_guard", f17, with_roles(B, """
 
 def f18(s, d):
     spec = ft.leaky_spec(ft.TRACK_B, "duration")
-    return md.leaky_benchmark(ft.track_b_features(track_b(s, d), spec), ft.TRACK_B, "duration", trees=TREES)
+    return md.leaky_benchmark(ft.track_b_features(track_b(s, d), spec), ft.TRACK_B, "duration", trees=TREES,
+                              names=[md.TREE, md.FOREST])
 
 
 add("f18_leaky_benchmark", f18)
@@ -275,12 +280,9 @@ add("e13_shuffled_donors", e13_donors, with_roles(A, """
     sum(age * age)::BIGINT AS sq_before, sum(age * age)::BIGINT AS sq_after FROM a"""))
 
 
-def run_result(track, table):
-    """One result table of a whole track run."""
-    def run(s, d):
-        feats, spec = (a_features(s, d), ft.TRACK_A) if track == "a" else (b_features(s, d), ft.TRACK_B)
-        return md.run_track(feats, spec, TREES, FOLDS, REPEATS)[table]
-    return run
+def f16_run(s, d):
+    """A whole track in one go: split, folds, fits, sweep, interpretation; its comparison."""
+    return md.run_track(a_features(s, d), ft.TRACK_A, TREES, FOLDS, REPEATS, names=[md.TREE, md.FOREST])["comparison"]
 
 
-add("f16_track_a_run", run_result("a", "comparison"))
+add("f16_track_a_run", f16_run)

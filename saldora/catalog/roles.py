@@ -6,10 +6,15 @@ Everything is derived from whole tables; nothing here belongs to the library pro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldora.operators.cleaning import clean_campaign, clean_campaign_secondary, clean_churn
+from saldora.operators.cleaning import (
+    NEVER_PRIMARY, NEVER_SECONDARY, clean_campaign, clean_campaign_secondary, clean_churn,
+    split_sentinel,
+)
 from saldora.operators.relational import rename
 from saldora.sources.schemas import CAMPAIGN_NAMES, CHURN_NAMES, CHURN_RAW
 
@@ -17,6 +22,20 @@ from saldora.sources.schemas import CAMPAIGN_NAMES, CHURN_NAMES, CHURN_RAW
 REF_DATE = "2001-08-01"
 
 
+def planned(build):
+    """Build a role's logical plan once per session and directory (no data is kept)."""
+    plans: dict = {}
+
+    @functools.wraps(build)
+    def get(spark: SparkSession, sf_dir: str):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+        if key not in plans:
+            plans[key] = build(spark, sf_dir)
+        return plans[key]
+
+    return get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,32 +43,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --------------------------------------------------------------------- track A
 
 
+@planned
 def track_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw churn file: text dates with markers, implausible dependents."""
-    day = F.col("o_orderdate").cast("date")
-    this = day >= F.lit("2001-05-01").cast("date")
-    prev = (day >= F.lit("2001-02-01").cast("date")) & ~this
-    debit = F.col("o_orderstatus") == "F"
+    this = "o_orderdate >= date'2001-05-01'"
+    prev = "o_orderdate >= date'2001-02-01' AND o_orderdate < date'2001-05-01'"
+    debit = "o_orderstatus = 'F'"
 
-    def money(cond):
-        return F.lit(0.01) + F.sum(F.when(cond, F.col("o_totalprice")).otherwise(F.lit(0.0)))
+    def money(cond: str, name: str):
+        return F.expr(f"0.01D + sum(CASE WHEN {cond} THEN o_totalprice ELSE 0D END) AS {name}")
 
     activity = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_custkey").alias("customer_id"))
+        .groupBy(F.expr("o_custkey AS customer_id"))
         .agg(
-            F.min(day).alias("first_day"),
-            F.max(day).alias("last_day"),
-            money(this).alias("current_month_credit"),
-            money(prev).alias("previous_month_credit"),
-            money(this & debit).alias("current_month_debit"),
-            money(prev & debit).alias("previous_month_debit"),
+            F.expr("min(cast(o_orderdate AS date)) AS first_day"),
+            F.expr("max(cast(o_orderdate AS date)) AS last_day"),
+            money(this, "current_month_credit"),
+            money(prev, "previous_month_credit"),
+            money(f"{this} AND {debit}", "current_month_debit"),
+            money(f"{prev} AND {debit}", "previous_month_debit"),
         )
     )
     k = "c_custkey"
-    rows = table(spark, sf_dir, "customer").join(
-        activity, F.col(k) == F.col("customer_id"), "inner"
-    )
+    rows = table(spark, sf_dir, "customer").join(activity, F.expr("c_custkey = customer_id"))
     exprs = {
         "vintage": f"datediff(date'{REF_DATE}', first_day)",
         "age": f"1 + ({k} * 37) % 90",
@@ -70,17 +87,15 @@ def track_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                      CASE WHEN c_acctbal < 1800 THEN 40 ELSE 11 END THEN 1 ELSE 0 END""",
         "last_transaction": f"CASE WHEN {k} % 9 = 0 THEN 'NaT' ELSE cast(last_day AS string) END",
     }
-    given = {"customer_id", *[c for c in activity.columns if c.endswith(("credit", "debit"))]}
-    return rows.select(
+    return rows.selectExpr(
         *[
-            (F.col(f.name) if f.name in given else F.expr(exprs[f.name]))
-            .cast(f.dataType)
-            .alias(f.name)
+            f"cast({exprs.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in CHURN_RAW
         ]
     )
 
 
+@planned
 def track_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned churn table."""
     return rename(clean_churn(track_a_raw(spark, sf_dir)).data, CHURN_NAMES)
@@ -92,29 +107,30 @@ def track_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with customer attributes and ``gap``: days since the previous order.
 
-    The gap is needed per order, but it only depends on the order's day, so the lag
-    runs over (customer, day) and not over the orders of a customer: a customer with a
-    third of all orders still has one row per calendar day there.
+    The lag runs over a customer's distinct order dates and not over the orders: order
+    dates are calendar days here, so a customer with a third of all orders still has
+    only a few thousand rows there. Orders that share their date with an earlier one of
+    the customer have gap 0.
     """
-    orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
-    first = F.min(F.struct("o_orderdate", "o_orderkey"))
-    days = (
-        orders.groupBy("o_custkey", "day")
-        .agg(first["o_orderkey"].alias("first_key"))
-        .withColumn("prev_day", F.lag("day").over(Window.partitionBy("o_custkey").orderBy("day")))
+    orders = table(spark, sf_dir, "orders")
+    dates = (
+        orders.groupBy("o_custkey", "o_orderdate")
+        .agg(F.expr("min(o_orderkey) AS first_key"))
+        .selectExpr(
+            "*", "lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS prev"
+        )
         .join(
             table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment"),
-            F.col("o_custkey") == F.col("c_custkey"),
+            F.expr("o_custkey = c_custkey"),
         )
-        .select("o_custkey", "day", "first_key", "prev_day", "c_acctbal", "c_mktsegment")
+        .drop("c_custkey")
     )
-    gap = F.when(
-        F.col("o_orderkey") == F.col("first_key"), F.datediff("day", "prev_day")
-    ).otherwise(F.lit(0))
-    return (
-        orders.join(days, ["o_custkey", "day"])
-        .withColumn("gap", gap)
-        .withColumn("m", (F.year("day") - 1995) * 12 + F.month("day"))
+    return orders.join(dates, ["o_custkey", "o_orderdate"]).selectExpr(
+        "*",
+        "cast(o_orderdate AS date) AS day",
+        """CASE WHEN o_orderkey = first_key
+           THEN datediff(cast(o_orderdate AS date), cast(prev AS date)) ELSE 0 END AS gap""",
+        "(year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS m",
     )
 
 
@@ -167,14 +183,16 @@ _B_SECONDARY = [
 
 def _campaign(spark: SparkSession, sf_dir: str, names: list[str], never: int) -> DataFrame:
     exprs = {**_B_EXPRS, "pdays": f"CASE WHEN gap <= 30 THEN gap ELSE {never} END"}
-    return _contacts(spark, sf_dir).select(*[F.expr(exprs[n]).alias(n) for n in names])
+    return _contacts(spark, sf_dir).selectExpr(*[f"{exprs[n]} AS `{n}`" for n in names])
 
 
+@planned
 def track_b_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw primary contacts with their key, names still dotted."""
     return _campaign(spark, sf_dir, _B_PRIMARY, 999)
 
 
+@planned
 def track_b_secondary_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _campaign(spark, sf_dir, _B_SECONDARY, -1)
 
@@ -192,37 +210,39 @@ def _with_copies(df: DataFrame) -> DataFrame:
     return doubled.drop("__copy", "observation_id")
 
 
+@planned
 def track_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(track_b_keyed(spark, sf_dir))
 
 
+@planned
 def track_b_secondary_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(track_b_secondary_keyed(spark, sf_dir))
 
 
+@planned
 def track_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned primary contacts, keyed by ``observation_id``, plain names."""
-    from saldora.operators.cleaning import NEVER_PRIMARY, split_sentinel
-
     keyed = rename(track_b_keyed(spark, sf_dir), CAMPAIGN_NAMES)
     return split_sentinel(
         keyed, "pdays", NEVER_PRIMARY, "previous_contact_flag", "days_since_previous_contact"
     )
 
 
+@planned
 def track_b_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from saldora.operators.cleaning import NEVER_SECONDARY, split_sentinel
-
     keyed = rename(track_b_secondary_keyed(spark, sf_dir), CAMPAIGN_NAMES)
     return split_sentinel(
         keyed, "pdays", NEVER_SECONDARY, "previous_contact_flag", "days_since_previous_contact"
     )
 
 
+@planned
 def cleaned_b(spark: SparkSession, sf_dir: str):
     return clean_campaign(track_b_raw(spark, sf_dir))
 
 
+@planned
 def cleaned_b_secondary(spark: SparkSession, sf_dir: str):
     return clean_campaign_secondary(track_b_secondary_raw(spark, sf_dir))
 
@@ -230,6 +250,7 @@ def cleaned_b_secondary(spark: SparkSession, sf_dir: str):
 # ------------------------------------------------- stand-ins with a SQL twin
 
 
+@planned
 def stand_in_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(customer_id, label, prob): a deterministic score with ties."""
     h = "(customer_id * 7919) % 10007 % 100"
@@ -242,6 +263,7 @@ def stand_in_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@planned
 def stand_in_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Track A with a deterministic ``segment``."""
     return track_a(spark, sf_dir).withColumn(

@@ -223,20 +223,20 @@ def score_models(fitted: dict[str, Fitted], test: DataFrame) -> DataFrame:
 
 def run_track(
     features: DataFrame, spec: TrackSpec, trees: int = FOREST_TREES, folds: int = FOLDS,
-    repeats: int = REPEATS, seed: int = SEED,
+    repeats: int = REPEATS, seed: int = SEED, names: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Split, cross-validate, fit, compare, sweep thresholds and interpret one track.
 
-    Returns result-sized frames: cv, comparison, best, thresholds, coefficients,
-    importance, permutation, sizes.
+    Returns result-sized frames: cv, comparison, best, thresholds, permutation, sizes,
+    and coefficients and importance of the logistic and forest models.
     """
     spark = features.sparkSession
     train, test = stratified_split(features, "label", spec.key, seed=seed)
     train, test = train.persist(), test.persist()
     try:
         n_train, n_test = train.count(), test.count()
-        cv = cv_summary(cross_validate(train, spec, folds, trees, seed))
-        fitted = fit_models(train, spec, trees, seed)
+        cv = cv_summary(cross_validate(train, spec, folds, trees, seed, names))
+        fitted = fit_models(train, spec, trees, seed, names)
         scores = score_models(fitted, test).persist()
         evaluated = small(evaluate(scores))
         best = best_model(evaluated).first()["model"]
@@ -247,21 +247,24 @@ def run_track(
         train.unpersist()
         test.unpersist()
     leaky = F.lit(spec.leaky)
-    return {
+    out = {
         "cv": cv,
         "comparison": comparison(evaluated).withColumn("leaky", leaky),
         "best": local_frame(spark, [(best,)], "model string"),
         "thresholds": sweep.orderBy("threshold"),
-        "coefficients": coefficients(fitted[LOGISTIC], spark),
-        "importance": impurity_importance(fitted[FOREST], spark),
         "permutation": permutation,
         "sizes": local_frame(spark, [(n_train, n_test)], "n_train long, n_test long"),
     }
+    if LOGISTIC in fitted:
+        out["coefficients"] = coefficients(fitted[LOGISTIC], spark)
+    if FOREST in fitted:
+        out["importance"] = impurity_importance(fitted[FOREST], spark)
+    return out
 
 
 def leaky_benchmark(
     features: DataFrame, spec: TrackSpec, column: str, trees: int = FOREST_TREES,
-    seed: int = SEED,
+    seed: int = SEED, names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Comparison table with a leaking column admitted, marked ``leaky``.
 
@@ -271,7 +274,8 @@ def leaky_benchmark(
     train, test = stratified_split(features, "label", spec.key, seed=seed)
     train, test = train.persist(), test.persist()
     try:
-        out = small(evaluate(score_models(fit_models(train, open_spec, trees, seed), test)))
+        fitted = fit_models(train, open_spec, trees, seed, names)
+        out = small(evaluate(score_models(fitted, test)))
     finally:
         train.unpersist()
         test.unpersist()

@@ -26,8 +26,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from saldora.functions.expr import safe_asinh
-from saldora.operators.keys import join_keys, keyed
+from saldora.operators.keys import ALL, join_keys, keyed, quote, sql_list
 from saldora.session import local_frame, materialise, small
 
 # Resolution of the sketch. The sketch's own error is a twentieth of a grid step, the
@@ -46,108 +45,116 @@ def _buckets(spark: SparkSession) -> int:
 
 def rank_edges(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """(keys, n, lowest, highest, grid): one pass, a sketch per group."""
+    v = quote(value)
     return (
-        df.filter(F.col(value).isNotNull())
+        df.filter(f"{v} IS NOT NULL")
         .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(value).alias("__min"),
-            F.max(value).alias("__max"),
-            F.expr(f"percentile_approx(`{value}`, {_GRID_SQL}, {ACCURACY})").alias("__grid"),
+            F.expr("count(1) AS n"),
+            F.expr(f"min({v}) AS __min"),
+            F.expr(f"max({v}) AS __max"),
+            F.expr(f"percentile_approx({v}, {_GRID_SQL}, {ACCURACY}) AS __grid"),
         )
     )
 
 
-def _windows(edges: DataFrame, keys: Sequence[str], slots: Column) -> DataFrame:
+def _windows(edges: DataFrame, keys: Sequence[str], slots: str) -> DataFrame:
     """(keys, slot, rmin, rmax, lo, hi): a value bracket per wanted span of ranks.
 
-    ``slots`` is an array of struct(slot, rmin, rmax) with ranks counted from 1.
+    ``slots`` is an SQL array of struct(slot, rmin, rmax) with ranks counted from 1.
     """
-    lo_at = (F.floor((F.col("rmin") - 1) / F.col("n") * GRID) - 1).cast("int")
-    hi_at = (F.ceil(F.col("rmax") / F.col("n") * GRID) + 1).cast("int")
-    return (
-        edges.select(*keys, "n", "__min", "__max", "__grid", F.explode(slots).alias("__s"))
-        .select(*keys, "n", "__min", "__max", "__grid", "__s.slot", "__s.rmin", "__s.rmax")
-        .select(
-            *keys,
-            "slot",
-            "rmin",
-            "rmax",
-            F.when(lo_at < 1, F.col("__min")).otherwise(F.get("__grid", lo_at)).alias("lo"),
-            F.when(hi_at >= GRID, F.col("__max")).otherwise(F.get("__grid", hi_at)).alias("hi"),
-        )
+    lo_at = f"cast(floor((rmin - 1) / n * {GRID}) - 1 AS int)"
+    hi_at = f"cast(ceil(rmax / n * {GRID}) + 1 AS int)"
+    return edges.selectExpr(*map(quote, keys), "n", "__min", "__max", "__grid", f"inline({slots})").selectExpr(
+        *map(quote, keys),
+        "slot",
+        "rmin",
+        "rmax",
+        f"CASE WHEN {lo_at} < 1 THEN __min ELSE get(__grid, {lo_at}) END AS lo",
+        f"CASE WHEN {hi_at} >= {GRID} THEN __max ELSE get(__grid, {hi_at}) END AS hi",
     )
 
 
+def _literal(value, kind: str) -> str:
+    return f"cast('{value!r}' AS {kind})"
+
+
+def _with_windows(rows: DataFrame, keys: Sequence[str], windows: DataFrame) -> DataFrame:
+    """Each row with the windows of its group.
+
+    Groups meet their windows in a hash join. Without groups there is nothing to join
+    on, and the few windows are written into the projection as literals.
+    """
+    if list(keys) != [ALL]:
+        return join_keys(rows, windows, keys)
+    fields = [f for f in windows.schema if f.name != ALL]
+    structs = [
+        "struct(" + ", ".join(
+            f"{_literal(w[f.name], f.dataType.simpleString())} AS {f.name}" for f in fields
+        ) + ")"
+        for w in windows.collect()
+    ]
+    return rows.selectExpr("*", f"inline(array({', '.join(structs)}))")
+
+
 def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame) -> DataFrame:
     """(keys, slot, rmin, rmax, value, before, ties) of the values covering the spans."""
     p = _buckets(df.sparkSession)
-    slot_keys = [*keys, "slot"]
-    rows = join_keys(
-        df.filter(F.col(value).isNotNull()).select(*keys, value), windows, keys
-    ).withColumn("__v", F.least(F.greatest(F.col(value), F.col("lo")), F.col("hi")))
-    # Equal steps on the arcsinh scale: monotone, and heavy tails do not fill one bucket.
-    # Rows below and above the bracket collapse into one row each, in buckets of their own.
-    lo, hi, at = safe_asinh("lo"), safe_asinh("hi"), safe_asinh("__v")
-    step = F.when(hi > lo, F.floor((at - lo) / (hi - lo) * p)).otherwise(F.lit(0))
-    bucket = (
-        F.when(F.col(value) < F.col("lo"), F.lit(-1))
-        .when(F.col(value) > F.col("hi"), F.lit(p))
-        .otherwise(F.least(step, F.lit(p - 1)))
-    )
+    v, slot_keys = quote(value), [*keys, "slot"]
+    by = sql_list(slot_keys)
+    rows = _with_windows(df.filter(f"{v} IS NOT NULL").select(*keys, value), keys, windows)
+    # Rows below and above the bracket collapse into one row each, in buckets of their
+    # own. Inside, equal steps on the arcsinh scale (monotone, so that a heavy tail does
+    # not fill one bucket).
+    flat = lambda c: f"signum({c}) * asinh(abs(cast({c} AS double)))"
+    step = f"floor(({flat(v)} - {flat('lo')}) / ({flat('hi')} - {flat('lo')}) * {p})"
     collapsed = (
-        rows.withColumn("__b", bucket.cast("int"))
+        rows.selectExpr(
+            *map(quote, slot_keys),
+            "rmin",
+            "rmax",
+            f"least(greatest({v}, lo), hi) AS __v",
+            f"""cast(CASE WHEN {v} < lo THEN -1 WHEN {v} > hi THEN {p}
+                WHEN {flat('hi')} > {flat('lo')} THEN least({step}, {p - 1})
+                ELSE 0 END AS int) AS __b""",
+        )
         .groupBy(*slot_keys, "rmin", "rmax", "__b", "__v")
-        .agg(F.count(F.lit(1)).alias("ties"))
+        .agg(F.expr("count(1) AS ties"))
     )
     offsets = (
         collapsed.groupBy(*slot_keys, "__b")
-        .agg(F.sum("ties").alias("__bn"))
-        .withColumn(
-            "__off",
-            F.coalesce(
-                F.sum("__bn").over(
-                    Window.partitionBy(*slot_keys).orderBy("__b").rowsBetween(
-                        Window.unboundedPreceding, -1
-                    )
-                ),
-                F.lit(0),
-            ),
+        .agg(F.expr("sum(ties) AS __bn"))
+        .selectExpr(
+            *map(quote, slot_keys),
+            "__b",
+            f"""coalesce(sum(__bn) OVER (PARTITION BY {by} ORDER BY __b
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS __off""",
         )
-        .drop("__bn")
     )
-    inside = F.sum("ties").over(
-        Window.partitionBy(*slot_keys, "__b").orderBy("__v").rowsBetween(
-            Window.unboundedPreceding, 0
-        )
+    run = collapsed.selectExpr(
+        "*", f"sum(ties) OVER (PARTITION BY {by}, __b ORDER BY __v ROWS UNBOUNDED PRECEDING) AS __run"
     )
-    run = collapsed.withColumn("__run", inside)
     return (
-        join_keys(run, offsets, [*slot_keys, "__b"])
-        .withColumn("before", F.col("__off") + F.col("__run") - F.col("ties"))
-        .filter(
-            (F.col("before") < F.col("rmax"))
-            & (F.col("before") + F.col("ties") >= F.col("rmin"))
+        join_keys(run, offsets, [*slot_keys, "__b"], never_null=[ALL, "slot", "__b"])
+        .selectExpr(
+            *map(quote, slot_keys), "rmin", "rmax", "__v AS value",
+            "__off + __run - ties AS before", "ties",
         )
-        .select(*slot_keys, "rmin", "rmax", F.col("__v").alias("value"), "before", "ties")
+        .filter("before < rmax AND before + ties >= rmin")
     )
 
 
 def values_at_ranks(
-    df: DataFrame, value: str, keys: Sequence[str], edges: DataFrame, slots: Column
+    df: DataFrame, value: str, keys: Sequence[str], edges: DataFrame, slots: str
 ) -> DataFrame:
     """(keys, slot, rank, value) for every rank in the given spans.
 
     A span is expanded to its single ranks, so keep spans narrow: two ranks for a
     median, O(sqrt(n)) for the ranks of a bootstrap.
     """
-    windows = small(_windows(edges, keys, slots))
-    covered = _select(df, value, keys, windows)
-    ranks = F.sequence(
-        F.greatest(F.col("before") + 1, F.col("rmin")),
-        F.least(F.col("before") + F.col("ties"), F.col("rmax")),
-    )
-    return covered.select(*keys, "slot", F.explode(ranks).alias("rank"), "value")
+    covered = _select(df, value, keys, small(_windows(edges, keys, slots)))
+    ranks = "sequence(greatest(before + 1, rmin), least(before + ties, rmax))"
+    return covered.selectExpr(*map(quote, keys), "slot", f"explode({ranks}) AS rank", "value")
 
 
 def group_quantiles(
@@ -155,32 +162,24 @@ def group_quantiles(
 ) -> DataFrame:
     """(keys, prob, value): exact quantiles with linear interpolation, NULLs skipped."""
     df, by = keyed(df, keys)
-    df = df.select(*by, F.col(value).cast("double").alias(value))
-    pos = lambda p: F.lit(float(p)) * (F.col("n") - 1)
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("slot"),
-                (F.floor(pos(p)) + 1).cast("long").alias("rmin"),
-                (F.ceil(pos(p)) + 1).cast("long").alias("rmax"),
-            )
-            for i, p in enumerate(probs)
-        ]
+    df = df.selectExpr(*map(quote, by), f"cast({quote(value)} AS double) AS {quote(value)}")
+    slots = ", ".join(
+        f"""struct({i} AS slot, cast(floor({float(p)}D * (n - 1)) + 1 AS bigint) AS rmin,
+            cast(ceil({float(p)}D * (n - 1)) + 1 AS bigint) AS rmax)"""
+        for i, p in enumerate(probs)
     )
     edges = small(rank_edges(df, value, by))
-    found = values_at_ranks(df, value, by, edges, slots)
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("slot") + 1)
+    found = values_at_ranks(df, value, by, edges, f"array({slots})")
     ends = found.groupBy(*by, "slot").agg(
-        F.min_by("value", "rank").alias("__lo"),
-        F.max_by("value", "rank").alias("__hi"),
+        F.expr("min_by(value, rank) AS __lo"), F.expr("max_by(value, rank) AS __hi")
     )
-    position = F.col("prob") * (F.col("n") - 1)
-    frac = position - F.floor(position)
-    out = (
-        join_keys(ends.withColumn("prob", prob), edges.select(*by, "n"), by)
-        .withColumn("value", F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac)
+    prob = f"element_at(array({', '.join(f'{float(p)}D' for p in probs)}), slot + 1)"
+    position = f"({prob} * (n - 1))"
+    return join_keys(ends, edges.select(*by, "n"), by).selectExpr(
+        *map(quote, keys),
+        f"{prob} AS prob",
+        f"__lo + (__hi - __lo) * ({position} - floor({position})) AS value",
     )
-    return out.select(*keys, "prob", "value")
 
 
 def group_median(
@@ -241,10 +240,9 @@ def cut_points(
         return []
     key_fields = [df.schema[k] for k in keys]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-    targets = local_frame(spark, wanted, f"{ddl}, slot int, rank long")
-    spans = F.array(
-        F.struct(F.col("slot"), F.col("rank").alias("rmin"), F.col("rank").alias("rmax"))
-    )
+    targets = local_frame(spark, wanted, f"{ddl}, asked int, rank long")
+    # the targets' slot travels inside the struct
+    spans = "array(struct(asked AS slot, rank AS rmin, rank AS rmax))"
     windows = small(_windows(join_keys(edges, targets, keys), keys, spans))
     hits = _select(df, "__by", keys, windows).collect()
     cuts, split = [], []
@@ -261,13 +259,7 @@ def cut_points(
         )
         tied = join_keys(df, F.broadcast(ties), [*keys, "__by"])
         tie_keys = [*keys, "__by", "__slot", "__within"]
-        at = F.array(
-            F.struct(
-                F.lit(1).alias("slot"),
-                F.col("__within").alias("rmin"),
-                F.col("__within").alias("rmax"),
-            )
-        )
+        at = "array(struct(1 AS slot, __within AS rmin, __within AS rmax))"
         tie_edges = small(rank_edges(tied, "__key", tie_keys))
         found = values_at_ranks(tied, "__key", tie_keys, tie_edges, at)
         cuts += [
@@ -352,35 +344,27 @@ def running_sums(
     else:
         collapsed = collapsed.withColumn("__b", F.lit(0))
 
-    def order(name: str) -> Column:
-        return F.col(name).desc() if descending else F.col(name).asc()
-
+    way = "DESC" if descending else "ASC"
+    v, group = quote(value), sql_list(by)
     per_bucket = collapsed.groupBy(*by, "__b").agg(
-        *[F.sum(s).alias(f"__t_{s}") for s in sums]
+        *[F.expr(f"sum({s}) AS __t_{s}") for s in sums]
     )
-    ahead = Window.partitionBy(*by).orderBy(order("__b")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    whole = Window.partitionBy(*by)
-    offsets = per_bucket.select(
-        *by,
+    ahead = f"(PARTITION BY {group} ORDER BY __b {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = per_bucket.selectExpr(
+        *map(quote, by),
         "__b",
-        *[F.coalesce(F.sum(f"__t_{s}").over(ahead), F.lit(0)).alias(f"__o_{s}") for s in sums],
-        *[F.sum(f"__t_{s}").over(whole).alias(f"all_{s}") for s in sums],
+        *[f"coalesce(sum(__t_{s}) OVER {ahead}, 0) AS __o_{s}" for s in sums],
+        *[f"sum(__t_{s}) OVER (PARTITION BY {group}) AS all_{s}" for s in sums],
     )
     if not keys:
         offsets = F.broadcast(offsets)  # at most one row per bucket
-    inside = Window.partitionBy(*by, "__b").orderBy(order(value)).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    running = collapsed.select(
-        "*", *[F.sum(s).over(inside).alias(f"__r_{s}") for s in sums]
-    )
-    return join_keys(running, offsets, [*by, "__b"]).select(
-        *keys,
-        value,
+    inside = f"(PARTITION BY {group}, __b ORDER BY {v} {way} ROWS UNBOUNDED PRECEDING)"
+    running = collapsed.selectExpr("*", *[f"sum({s}) OVER {inside} AS __r_{s}" for s in sums])
+    return join_keys(running, offsets, [*by, "__b"], never_null=[ALL, "__b"]).selectExpr(
+        *map(quote, keys),
+        v,
         *sums,
-        *[(F.col(f"__o_{s}") + F.col(f"__r_{s}") - F.col(s)).alias(f"before_{s}") for s in sums],
+        *[f"__o_{s} + __r_{s} - {s} AS before_{s}" for s in sums],
         *[f"all_{s}" for s in sums],
     )
 

@@ -226,15 +226,11 @@ def median_diff(
             np.concatenate([[n // 2 + 1], r2]),
         )
 
-    def bound(pick) -> Column:
+    def bound(pick) -> str:
         ends = {g: int(pick(np.concatenate(drawn[g]))) for g in drawn}
-        return F.when(F.col("one"), F.lit(ends[True])).otherwise(F.lit(ends[False])).cast("long")
+        return f"CASE WHEN one THEN {ends[True]}L ELSE {ends[False]}L END"
 
-    span = F.array(
-        F.struct(
-            F.lit(1).alias("slot"), bound(np.min).alias("rmin"), bound(np.max).alias("rmax")
-        )
-    )
+    span = f"array(struct(1 AS slot, {bound(np.min)} AS rmin, {bound(np.max)} AS rmax))"
     needed = [
         (g, int(r)) for g in drawn for r in np.unique(np.concatenate(drawn[g]))
     ]  # at most 2 (resamples + 1) ranks per group

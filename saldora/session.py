@@ -9,9 +9,10 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from saldora.ddl import struct
+
 # Rows a relation may have to be held by the driver and broadcast. With the narrow
 # rows it is used for (keys, a few numbers) this is a few megabytes.
 SMALL_ROWS = 50_000
@@ -28,6 +29,7 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
@@ -71,7 +73,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def local_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     """A driver-side relation of a few rows; as an Arrow table it needs no Python worker."""
-    schema = T.StructType.fromDDL(ddl)
+    schema = struct(ddl)
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     table = pa.table(
         [pa.array(c, type=to_arrow_type(f.dataType)) for c, f in zip(columns, schema)],

@@ -9,12 +9,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import types as T
 
+from saldora.ddl import data_type, struct
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
-
-CHURN_RAW = _struct(
+CHURN_RAW = struct(
     """customer_id bigint, vintage int, age int, gender string, dependents double,
     occupation string, city double, customer_nw_category int, branch_code int,
     current_balance double, previous_month_end_balance double,
@@ -25,7 +23,7 @@ CHURN_RAW = _struct(
     churn int, last_transaction string"""
 )
 
-CAMPAIGN_RAW = _struct(
+CAMPAIGN_RAW = struct(
     """age int, job string, marital string, education string, `default` string,
     housing string, loan string, contact string, month string, day_of_week string,
     duration int, campaign int, pdays int, previous int, poutcome string,
@@ -33,7 +31,7 @@ CAMPAIGN_RAW = _struct(
     euribor3m double, `nr.employed` double, y string"""
 )
 
-CAMPAIGN_SECONDARY_RAW = _struct(
+CAMPAIGN_SECONDARY_RAW = struct(
     """age int, job string, marital string, education string, `default` string,
     balance int, housing string, loan string, contact string, day int, month string,
     duration int, campaign int, pdays int, previous int, poutcome string, y string"""
@@ -53,22 +51,22 @@ CAMPAIGN_NAMES = {
 }
 
 STAR: dict[str, T.StructType] = {
-    "track_a.dim_customer": _struct(
+    "track_a.dim_customer": struct(
         """customer_id bigint, vintage int, age int, age_under_18_flag boolean,
         gender string, dependents double, occupation string, city double,
         customer_nw_category int, branch_code int"""
     ),
-    "track_a.fact_customer_balance": _struct(
+    "track_a.fact_customer_balance": struct(
         """customer_id bigint, current_balance double, previous_month_end_balance double,
         average_monthly_balance_prevq double, average_monthly_balance_prevq2 double,
         current_month_balance double, previous_month_balance double"""
     ),
-    "track_a.fact_customer_activity": _struct(
+    "track_a.fact_customer_activity": struct(
         """customer_id bigint, current_month_credit double, previous_month_credit double,
         current_month_debit double, previous_month_debit double, last_transaction date"""
     ),
-    "track_a.fact_customer_churn": _struct("customer_id bigint, churn int"),
-    "track_b.marketing_observation": _struct(
+    "track_a.fact_customer_churn": struct("customer_id bigint, churn int"),
+    "track_b.marketing_observation": struct(
         """observation_id bigint, age int, job string, marital string, education string,
         default_credit string, housing string, loan string, contact string, month string,
         day_of_week string, duration int, campaign int, previous_contact_flag boolean,
@@ -76,7 +74,7 @@ STAR: dict[str, T.StructType] = {
         emp_var_rate double, cons_price_idx double, cons_conf_idx double,
         euribor3m double, nr_employed double, y string"""
     ),
-    "track_b.marketing_observation_bank_full": _struct(
+    "track_b.marketing_observation_bank_full": struct(
         """observation_id bigint, age int, job string, marital string, education string,
         default_credit string, balance int, housing string, loan string, contact string,
         day int, month string, duration int, campaign int, previous_contact_flag boolean,
@@ -91,7 +89,7 @@ def override(schema: T.StructType, types: Mapping[str, str | T.DataType]) -> T.S
     if unknown:
         raise KeyError(f"no such column: {sorted(unknown)}")
     parsed = {
-        n: _struct(f"x {t}")[0].dataType if isinstance(t, str) else t for n, t in types.items()
+        n: data_type(t) if isinstance(t, str) else t for n, t in types.items()
     }
     return T.StructType(
         [T.StructField(f.name, parsed.get(f.name, f.dataType), f.nullable) for f in schema]
