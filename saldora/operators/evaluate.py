@@ -107,13 +107,16 @@ def at_thresholds(scores: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     )
 
 
-def _ranked(scores: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _ranked(
+    scores: DataFrame, keys: Sequence[str], splits: Sequence[float] | None = None
+) -> DataFrame:
     return running_sums(
         scores,
         "prob",
         {"pos": F.count_if(F.col("label") == 1), "n": F.count(F.lit(1))},
         keys,
         descending=True,
+        splits=splits,
     )
 
 
@@ -136,12 +139,14 @@ def roc_auc(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return out.groupBy(*keys).agg(agg) if keys else out.agg(agg)
 
 
-def average_precision(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def average_precision(
+    scores: DataFrame, keys: Sequence[str] = (), splits: Sequence[float] | None = None
+) -> DataFrame:
     """Sum over distinct scores, descending, of the recall step times the precision.
 
     Not the trapezoidal area: tied scores are one step.
     """
-    out = _ranked(scores, keys)
+    out = _ranked(scores, keys, splits)
     agg = _ranking_aggs()["pr_auc"].alias("pr_auc")
     return out.groupBy(*keys).agg(agg) if keys else out.agg(agg)
 

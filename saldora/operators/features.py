@@ -18,6 +18,7 @@ from saldora.operators.rank import cut_points, group_quantiles, passed_cuts, wit
 from saldora.operators.relational import long_values, mode_of, quoted
 from saldora.operators.segment import scale_stats
 from saldora.plans.track_a import REFERENCE_DATE, with_recency
+from saldora.sources.schemas import STAR
 
 SEED = 42
 
@@ -59,12 +60,6 @@ TRACK_A = TrackSpec(
     categorical=("gender", "occupation"),
 )
 CAMPAIGN_LEAKAGE = ("duration",)
-CAMPAIGN_FEATURES = (
-    "age", "job", "marital", "education", "default_credit", "housing", "loan", "contact",
-    "month", "day_of_week", "duration", "campaign", "previous_contact_flag",
-    "days_since_previous_contact", "previous", "poutcome", "emp_var_rate",
-    "cons_price_idx", "cons_conf_idx", "euribor3m", "nr_employed",
-)
 TRACK_B = TrackSpec(
     name="track_b",
     key="observation_id",
@@ -78,7 +73,9 @@ TRACK_B = TrackSpec(
         "month", "day_of_week", "poutcome",
     ),
     leakage=CAMPAIGN_LEAKAGE,
-    allowed=frozenset(CAMPAIGN_FEATURES) - frozenset(CAMPAIGN_LEAKAGE),
+    # everything the contact table holds but its key, the target and what leaks
+    allowed=frozenset(STAR["track_b.marketing_observation"].names)
+    - {"observation_id", "y", *CAMPAIGN_LEAKAGE},
 )
 
 

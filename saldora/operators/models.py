@@ -21,6 +21,7 @@ from saldora.operators.features import (
     SEED, FittedPreprocessor, Preprocessor, TrackSpec, leaky_spec, stratified_folds,
     stratified_split, with_weights,
 )
+from saldora.operators.rank import value_splits
 from saldora.operators.relational import mean_std, sort_by_abs
 from saldora.session import local_frame, small
 
@@ -172,7 +173,9 @@ def permutation_importance(
     spark = test.sparkSession
     test = test.select(fitted.key, "label", *columns).persist()
     try:
-        base = average_precision(fitted.score(test, ["label"])).first()["pr_auc"]
+        plain = fitted.score(test, ["label"])
+        splits = value_splits(plain, "prob")
+        base = average_precision(plain, splits=splits).first()["pr_auc"]
         parts = []
         for r in range(repeats):
             donors = shuffled_donors(test, columns, fitted.key, seed + r)
@@ -193,12 +196,10 @@ def permutation_importance(
                 .select("label", "repeat", "v.*")
             )
         keep = ["feature", "repeat", "label"]
-        scores = fitted.score(reduce(DataFrame.unionByName, parts), keep).persist()
-        drops = [
-            (x["feature"], x["repeat"], base - x["pr_auc"])
-            for x in average_precision(scores, ["feature", "repeat"]).collect()
-        ]
-        scores.unpersist()
+        # Many scores per row, so they are aggregated as they come and never stored.
+        scores = fitted.score(reduce(DataFrame.unionByName, parts), keep)
+        areas = average_precision(scores, ["feature", "repeat"], splits).collect()
+        drops = [(x["feature"], x["repeat"], base - x["pr_auc"]) for x in areas]
     finally:
         test.unpersist()
     frame = local_frame(spark, drops, "feature string, repeat int, drop double")

@@ -33,6 +33,8 @@ from saldora.session import local_frame, materialise, small
 # brackets are widened by a whole step on both sides, so a bracket always holds its rank.
 GRID = 500
 ACCURACY = 20 * GRID
+# Groups whose sketches (GRID + 1 values each) the driver may hold: about 8 MB.
+EDGE_ROWS = 2_000
 _GRID_SQL = "array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")"
 
 
@@ -59,14 +61,18 @@ def rank_edges(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
 
 
 def _windows(edges: DataFrame, keys: Sequence[str], slots: str) -> DataFrame:
-    """(keys, slot, rmin, rmax, lo, hi): a value bracket per wanted span of ranks.
+    """(keys, n, slot, rmin, rmax, lo, hi): a value bracket per wanted span of ranks.
 
     ``slots`` is an SQL array of struct(slot, rmin, rmax) with ranks counted from 1.
     """
     lo_at = f"cast(floor((rmin - 1) / n * {GRID}) - 1 AS int)"
     hi_at = f"cast(ceil(rmax / n * {GRID}) + 1 AS int)"
-    return edges.selectExpr(*map(quote, keys), "n", "__min", "__max", "__grid", f"inline({slots})").selectExpr(
+    spans = edges.selectExpr(
+        *map(quote, keys), "n", "__min", "__max", "__grid", f"inline({slots})"
+    )
+    return spans.selectExpr(
         *map(quote, keys),
+        "n AS __n",
         "slot",
         "rmin",
         "rmax",
@@ -98,7 +104,7 @@ def _with_windows(rows: DataFrame, keys: Sequence[str], windows: DataFrame) -> D
 
 
 def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame) -> DataFrame:
-    """(keys, slot, rmin, rmax, value, before, ties) of the values covering the spans."""
+    """(keys, slot, n, rmin, rmax, value, before, ties) of the values covering the spans."""
     p = _buckets(df.sparkSession)
     v, slot_keys = quote(value), [*keys, "slot"]
     by = sql_list(slot_keys)
@@ -111,6 +117,7 @@ def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame)
     collapsed = (
         rows.selectExpr(
             *map(quote, slot_keys),
+            "__n",
             "rmin",
             "rmax",
             f"least(greatest({v}, lo), hi) AS __v",
@@ -118,7 +125,7 @@ def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame)
                 WHEN {flat('hi')} > {flat('lo')} THEN least({step}, {p - 1})
                 ELSE 0 END AS int) AS __b""",
         )
-        .groupBy(*slot_keys, "rmin", "rmax", "__b", "__v")
+        .groupBy(*slot_keys, "__n", "rmin", "rmax", "__b", "__v")
         .agg(F.expr("count(1) AS ties"))
     )
     offsets = (
@@ -137,7 +144,7 @@ def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame)
     return (
         join_keys(run, offsets, [*slot_keys, "__b"], never_null=[ALL, "slot", "__b"])
         .selectExpr(
-            *map(quote, slot_keys), "rmin", "rmax", "__v AS value",
+            *map(quote, slot_keys), "__n AS n", "rmin", "rmax", "__v AS value",
             "__off + __run - ties AS before", "ties",
         )
         .filter("before < rmax AND before + ties >= rmin")
@@ -147,14 +154,16 @@ def _select(df: DataFrame, value: str, keys: Sequence[str], windows: DataFrame)
 def values_at_ranks(
     df: DataFrame, value: str, keys: Sequence[str], edges: DataFrame, slots: str
 ) -> DataFrame:
-    """(keys, slot, rank, value) for every rank in the given spans.
+    """(keys, slot, n, rank, value) for every rank in the given spans; n counts the group.
 
     A span is expanded to its single ranks, so keep spans narrow: two ranks for a
     median, O(sqrt(n)) for the ranks of a bootstrap.
     """
     covered = _select(df, value, keys, small(_windows(edges, keys, slots)))
     ranks = "sequence(greatest(before + 1, rmin), least(before + ties, rmax))"
-    return covered.selectExpr(*map(quote, keys), "slot", f"explode({ranks}) AS rank", "value")
+    return covered.selectExpr(
+        *map(quote, keys), "slot", "n", f"explode({ranks}) AS rank", "value"
+    )
 
 
 def group_quantiles(
@@ -168,14 +177,14 @@ def group_quantiles(
             cast(ceil({float(p)}D * (n - 1)) + 1 AS bigint) AS rmax)"""
         for i, p in enumerate(probs)
     )
-    edges = small(rank_edges(df, value, by))
+    edges = small(rank_edges(df, value, by), EDGE_ROWS)
     found = values_at_ranks(df, value, by, edges, f"array({slots})")
-    ends = found.groupBy(*by, "slot").agg(
+    ends = found.groupBy(*by, "slot", "n").agg(
         F.expr("min_by(value, rank) AS __lo"), F.expr("max_by(value, rank) AS __hi")
     )
     prob = f"element_at(array({', '.join(f'{float(p)}D' for p in probs)}), slot + 1)"
     position = f"({prob} * (n - 1))"
-    return join_keys(ends, edges.select(*by, "n"), by).selectExpr(
+    return ends.selectExpr(
         *map(quote, keys),
         f"{prob} AS prob",
         f"__lo + (__hi - __lo) * ({position} - floor({position})) AS value",
@@ -228,7 +237,7 @@ def cut_points(
     spark = df.sparkSession
     df, keys = keyed(df, partition)
     df = df.select(*keys, F.col(by).alias("__by"), F.col(key).cast("long").alias("__key"))
-    edges = small(rank_edges(df, "__by", keys))
+    edges = small(rank_edges(df, "__by", keys), EDGE_ROWS)
     counts = {tuple(r[k] for k in keys): r["n"] for r in edges.select(*keys, "n").collect()}
     wanted = [
         (*g, j, int(r))
@@ -260,7 +269,7 @@ def cut_points(
         tied = join_keys(df, F.broadcast(ties), [*keys, "__by"])
         tie_keys = [*keys, "__by", "__slot", "__within"]
         at = "array(struct(1 AS slot, __within AS rmin, __within AS rmax))"
-        tie_edges = small(rank_edges(tied, "__key", tie_keys))
+        tie_edges = small(rank_edges(tied, "__key", tie_keys), EDGE_ROWS)
         found = values_at_ranks(tied, "__key", tie_keys, tie_edges, at)
         cuts += [
             Cut(tuple(r[k] for k in keys), r["__slot"], r["__by"], r["value"])
@@ -316,25 +325,30 @@ def with_ntile(
 # ------------------------------------------------------------- prefix sums
 
 
+def value_splits(df: DataFrame, value: str) -> list[float]:
+    """Ascending bucket bounds that spread the values evenly."""
+    p = _buckets(df.sparkSession)
+    return sorted(set(df.approxQuantile(value, [i / p for i in range(1, p)], 1.0 / (4 * p))))
+
+
 def running_sums(
     df: DataFrame,
     value: str,
     sums: Mapping[str, Column],
     keys: Sequence[str] = (),
     descending: bool = False,
+    splits: Sequence[float] | None = None,
 ) -> DataFrame:
     """Distinct values in order with their sums, the sums before them, and the totals.
 
     Returns (keys, value, s, before_s, all_s) for each entry of ``sums``. Ties are one
     row after the collapse, so a value of any weight costs nothing; buckets only hold
-    distinct values.
+    distinct values. ``splits`` (see ``value_splits``) spares the pass that finds them;
+    they only balance the work and never change the result.
     """
-    spark = df.sparkSession
     df, by = keyed(df.filter(F.col(value).isNotNull()), keys)
-    p = _buckets(spark)
-    splits = sorted(
-        set(df.approxQuantile(value, [i / p for i in range(1, p)], 1.0 / (4 * p)))
-    )
+    if splits is None:
+        splits = value_splits(df, value)
     collapsed = df.groupBy(*by, value).agg(*[c.alias(s) for s, c in sums.items()])
     if splits:
         cutter = Bucketizer(
@@ -377,7 +391,7 @@ def _number(df: DataFrame, out: str) -> DataFrame:
     written = materialise(df.withColumn("__mid", F.monotonically_increasing_id()))
     numbered = written.withColumn("__pid", F.shiftright("__mid", 33))
     counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition, so ordering them in one task and broadcasting is bounded.
+    # One row per partition: few enough to order in one task.
     offsets = counts.select(
         "__pid",
         F.coalesce(
@@ -389,7 +403,7 @@ def _number(df: DataFrame, out: str) -> DataFrame:
     )
     index = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        numbered.join(F.broadcast(offsets), "__pid")
+        numbered.join(small(offsets), "__pid")
         .withColumn(out, (F.col("__off") + index + 1).cast("long"))
         .drop("__mid", "__pid", "__off")
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from saldora.functions.expr import key_hash, round_to, safe_asinh
 from saldora.operators.rank import group_median
 from saldora.operators.relational import with_group_values
-from saldora.session import local_frame
+from saldora.session import local_frame, small
 
 # Inputs of the segmentation and the chosen number of segments.
 FEATURES = [
@@ -189,12 +189,19 @@ def silhouette(
     sampled rows against it with matrix arithmetic, so no pair ever becomes a row.
     """
     spark = df.sparkSession
-    picked = (
-        df.select(key, F.col(label).alias("label"), *[F.col(c).cast("double") for c in cols])
-        .orderBy(key_hash(key, seed=seed), key)
-        .limit(sample)
+    hashed = df.select(
+        key,
+        F.col(label).alias("label"),
+        *[F.col(c).cast("double") for c in cols],
+        key_hash(key, seed=seed).alias("__h"),
     )
-    pdf = picked.toPandas()
+    n = hashed.count()
+    # The hash is uniform below 2^60, so the smallest ones lie under a bound that about
+    # twice the sample meets: all other rows drop out where they are read.
+    near = hashed.filter(F.col("__h") < int(min(1.0, 2.0 * sample / max(n, 1)) * (1 << 60)))
+    pdf = _first_by_hash(near, key, sample)
+    if len(pdf) < min(sample, n):
+        pdf = _first_by_hash(hashed, key, sample)
     points = pdf[list(cols)].to_numpy(dtype=float)
     labels = pdf["label"].to_numpy()
     levels, codes = np.unique(labels, return_inverse=True)
@@ -230,6 +237,10 @@ def silhouette(
     return ids.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
 
 
+def _first_by_hash(hashed: DataFrame, key: str, sample: int) -> pd.DataFrame:
+    return hashed.orderBy("__h", key).limit(sample).drop("__h").toPandas()
+
+
 def _distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
     squares = [(x - y) * (x - y) for x, y in zip(a, b)]
     return F.sqrt(reduce(lambda p, q: p + q, squares))
@@ -244,9 +255,8 @@ def davies_bouldin(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     rows = df.select(F.col(label).alias("l"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
     dims = range(len(cols))
     centres = rows.groupBy("l").agg(*[F.avg(f"x{i}").alias(f"c{i}") for i in dims])
-    # One row per cluster: k rows, whatever the data size.
     spread = (
-        rows.join(F.broadcast(centres), "l")
+        rows.join(small(centres), "l")  # one row per cluster
         .groupBy("l")
         .agg(
             F.avg(

@@ -78,7 +78,7 @@ def chi_square_cells(cells: DataFrame, correction: bool = True) -> DataFrame:
         F.count(F.lit(1)).over(of_a).alias("ka"),
         F.sum("n").over(of_b).alias("cb"),
         F.count(F.lit(1)).over(of_b).alias("kb"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
+        cells.agg(F.sum("n")).scalar().alias("total"),
     ).withColumn("e", F.col("ra") * (F.col("cb") / F.col("total")))
     gap = F.abs(F.col("n") - F.col("e"))
     sums = wide.agg(

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from saldora.ddl import struct
@@ -71,9 +72,7 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """A driver-side relation of a few rows; as an Arrow table it needs no Python worker."""
-    schema = struct(ddl)
+def _local(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     table = pa.table(
         [pa.array(c, type=to_arrow_type(f.dataType)) for c, f in zip(columns, schema)],
@@ -82,13 +81,19 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFra
     return spark.createDataFrame(table, schema=schema)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A driver-side relation of a few rows; as an Arrow table it needs no Python worker."""
+    return _local(spark, rows, struct(ddl))
+
+
 def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``df`` if it really is small, else return it unhinted.
 
     The check fetches at most ``max_rows + 1`` rows; beyond the bound the caller's
     join stays an ordinary shuffle join that AQE may split on skew.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    # collect() of a limit reads partitions step by step and stops at the bound
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+    return F.broadcast(_local(df.sparkSession, rows, df.schema))
