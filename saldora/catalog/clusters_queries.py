@@ -10,7 +10,7 @@ from saldora.catalog.roles_sql import A, SEGMENTS, key_hash, r, with_roles
 from saldora.functions.expr import round_to
 from saldora.operators import segment as sg
 from saldora.operators.relational import attach
-from saldora.session import scratch_path
+from saldora.session import right_size, scratch_path
 from saldora.sources import read_csv, write_csv
 
 BOOK = Book()
@@ -52,7 +52,9 @@ add("k2_standardised_features",
 
 def k3(s, d):
     """Best of ten restarts, k = 4: (restarts, best cost, worst cost)."""
-    vectors = sg.as_vector(scaled(s, d), sg.FEATURES).select("customer_id", "features").persist()
+    frame = scaled(s, d)
+    vectors = sg.as_vector(frame, sg.FEATURES).select("customer_id", "features")
+    vectors = right_size(vectors, frame.count()).persist()
     try:
         best = sg.kmeans(vectors, sg.FINAL_K)
     finally:

@@ -23,7 +23,7 @@ from saldora.operators.features import (
 )
 from saldora.operators.rank import value_splits
 from saldora.operators.relational import mean_std, sort_by_abs
-from saldora.session import local_frame, small
+from saldora.session import local_frame, right_size, small
 
 # Model names and settings.
 LOGISTIC = "Logistic Regression"
@@ -85,11 +85,12 @@ def fit_models(
 ) -> dict[str, Fitted]:
     """Fit preprocessing and models on the same training rows."""
     prep = Preprocessor(spec).fit(train)
-    vectors = (
-        prep.transform(with_weights(train)).select("features", "label", "weight").persist()
-    )
+    weighted = with_weights(train)
+    n_train = weighted.count()
+    vectors = prep.transform(weighted).select("features", "label", "weight")
+    vectors = right_size(vectors, n_train).persist()
     try:
-        estimators = build_models(vectors.count(), trees, seed)
+        estimators = build_models(n_train, trees, seed)
         return {
             n: Fitted(n, prep, e.fit(vectors), spec.key)
             for n, e in estimators.items()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from saldora.functions.expr import key_hash, round_to, safe_asinh
 from saldora.operators.rank import group_median
 from saldora.operators.relational import with_group_values
-from saldora.session import local_frame, small
+from saldora.session import local_frame, right_size, small
 
 # Inputs of the segmentation and the chosen number of segments.
 FEATURES = [
@@ -47,11 +47,15 @@ def segment_features(
     )
 
 
-def assert_complete(df: DataFrame, cols: Sequence[str]) -> None:
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+def assert_complete(df: DataFrame, cols: Sequence[str]) -> int:
+    """Refuse missing values; returns the number of rows."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]
+    ).first()
     missing = {c: row[c] for c in cols if row[c]}
     if missing:
         raise ValueError(f"missing values in clustering inputs: {missing}")
+    return row["__n"]
 
 
 def scale_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -133,9 +137,10 @@ def evaluate_k(
 ) -> DataFrame:
     """(k, silhouette, davies_bouldin, silhouette_squared, cost, cluster_sizes) per k."""
     spark = scaled.sparkSession
-    vectors = as_vector(scaled.select(key, *cols), cols).persist()
+    rows = assert_complete(scaled, cols)
+    vectors = right_size(as_vector(scaled.select(key, *cols), cols), rows).persist()
     try:
-        rows = []
+        out = []
         for k in range(k_min, k_max + 1):
             best = kmeans(vectors, k, restarts, seed)
             labelled = best.label(vectors, "label")
@@ -144,12 +149,12 @@ def evaluate_k(
             # squared-Euclidean variant over all rows, linear in the data
             squared = ClusteringEvaluator(predictionCol="label").evaluate(labelled)
             sizes = [best.model.summary.clusterSizes[c] for c in best.order]
-            rows.append((k, sil, db, float(squared), best.cost, [int(n) for n in sizes]))
+            out.append((k, sil, db, float(squared), best.cost, [int(n) for n in sizes]))
     finally:
         vectors.unpersist()
     return local_frame(
         spark,
-        rows,
+        out,
         "k int, silhouette double, davies_bouldin double, silhouette_squared double, "
         "cost double, cluster_sizes array<bigint>",
     )
@@ -161,9 +166,10 @@ def segment_customers(
 ) -> DataFrame:
     """(key, segment) for every row: features, scaling, best k-means, stable labels."""
     feats = segment_features(df, key)
-    assert_complete(feats, FEATURES)
+    rows = assert_complete(feats, FEATURES)
     scaled, _ = standardise(feats, FEATURES)
-    vectors = as_vector(scaled, FEATURES).select(key, "features").persist()
+    vectors = as_vector(scaled, FEATURES).select(key, "features")
+    vectors = right_size(vectors, rows).persist()
     try:
         best = kmeans(vectors, k, restarts, seed)
     finally:

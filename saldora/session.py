@@ -97,3 +97,12 @@ def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(_local(df.sparkSession, rows, df.schema))
+
+
+def right_size(df: DataFrame, rows: int, per_partition: int = 20_000) -> DataFrame:
+    """Fewer partitions for an iterative job on few rows; never more than there are.
+
+    Every iteration schedules one task per partition, so thousands of near-empty ones
+    cost more than the work. Large inputs keep their partitioning.
+    """
+    return df.coalesce(max(1, -(-rows // per_partition)))
