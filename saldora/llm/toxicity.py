@@ -34,6 +34,9 @@ from saldora.llm.textbytes import byte_table, slices, span_hashes, words
 from saldora.llm.textbytes import _BYTE_CODE
 
 THRESHOLD = 0.7
+# standard errors by which a feature must be commoner among the confirmed: chance alone
+# brings about one of a quarter million hashed features there
+CLEAR = 4.5
 SCHEMA = "doc_id long, score double"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -156,7 +159,8 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, bounds: Boun
     gap = n_p / all_p - n_u / all_u
     score = gap / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / all_p + 1 / all_u))
     chosen = np.argsort(-score, kind="stable")[: bounds.selected]
-    chosen = chosen[(n_p[chosen] >= min(3, all_p)) & (gap[chosen] > 0)]
+    clear = score[chosen] >= (CLEAR if min(all_p, all_u) >= 50 else 0)
+    chosen = chosen[clear & (n_p[chosen] >= min(3, all_p)) & (gap[chosen] > 0)]
     slot[chosen] = np.arange(len(chosen))
     fitted = [_dense(own, slot, len(chosen)) for own, _ in parts]
     w = nn_pu_weights(fitted[0], fitted[1], prior, bounds.steps, bounds.batch)
