@@ -203,7 +203,7 @@ def draw_mix(
     taken = lined.join(plan, F.col("source").eqNullSafe(F.col("__named")))
     pieces = F.expr(
         f"flatten(transform(sequence(0, {passes - 1}), p -> transform("
-        " filter(cuts, c -> c.lo < at + p * source_size + size AND c.hi > at + p * source_size),"
+        " filter(cuts, c -> size > 0 AND c.lo < at + p * source_size + size AND c.hi > at + p * source_size),"
         " c -> named_struct('shard', c.shard, 'pass', p,"
         "  'first', greatest(0L, c.lo - at - p * source_size),"
         "  'words', least(c.hi, at + p * source_size + size) - greatest(c.lo, at + p * source_size)))))"

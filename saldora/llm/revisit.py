@@ -133,7 +133,7 @@ def captures(pages: DataFrame) -> DataFrame:
     """A crawl log of a page table: each page's response and a later revisit of its URL.
 
     Page ``i`` is fetched at minute ``i`` and asked for again after 1 to 30 days, by the
-    CRC of its id, with its own validators; where another page of the same canonical URL
+    MD5 of its id, with its own validators; where another page of the same canonical URL
     was fetched in between, that one is the latest response and the validators differ.
     Pages without an id have no time; a null html has the digest of an empty payload.
     """
@@ -143,7 +143,8 @@ def captures(pages: DataFrame) -> DataFrame:
         F.octet_length(html).cast("string").alias("bytes"),
     )
     fetched = F.col("page_id") * 60
-    again = fetched + 86_400 * (1 + F.crc32(F.col("page_id").cast("string")) % 30)
+    draw = F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 1, 7), 16, 10).cast("long")
+    again = fetched + 86_400 * (1 + draw % 30)
     tag = F.concat(F.lit('"'), F.col("digest"), F.lit('"'))
     response = F.struct(
         F.concat(F.lit("response-"), F.col("page_id")).alias("record_id"), fetched.alias("at"),

@@ -40,6 +40,7 @@ from saldora.session import materialise
 WINDOW = 35
 ANCHOR = 8
 SHARD = 64
+_PLACE = np.uint64((1 << 20) - 1)
 _SECOND = 0xE7037ED1A0B428DB  # another base: two hashes name a stretch
 
 
@@ -134,7 +135,8 @@ def stretches(code: np.ndarray, cut: np.ndarray):
     """(document, first window, windows, minimiser, content) of all stretches of a slice.
 
     ``cut`` has how many words lie before each document. A new stretch begins where the
-    minimiser's place changes, so a repeated anchor starts one too.
+    minimiser's place changes. Equal windows have it in the same place of theirs, so no
+    window occurs twice in one stretch, however periodic a text is.
     """
     n_words = np.diff(cut)
     empty = np.zeros(0, dtype=np.int64)
@@ -142,18 +144,19 @@ def stretches(code: np.ndarray, cut: np.ndarray):
         return empty, empty, empty, empty, empty
     owner = np.repeat(np.arange(len(n_words)), n_words)
     anchors = window_hashes(code, ANCHOR)
-    least = _sliding_least(anchors, WINDOW - ANCHOR + 1)
-    # where the least anchor ends: its last place among equal ones of the window
+    # hash above, place below: of equal hashes the first place counts
+    places = np.arange(len(anchors), dtype=np.uint64) & _PLACE
+    least = _sliding_least((anchors & ~_PLACE) | places, WINDOW - ANCHOR + 1)
     begins = np.flatnonzero(owner[: len(least)] == owner[WINDOW - 1 : WINDOW - 1 + len(least)])
-    low = least[begins]
+    place = begins + ((least[begins] - begins.astype(np.uint64)) & _PLACE).astype(np.int64)
+    low = anchors[place]
     new = np.ones(len(begins), dtype=bool)
-    new[1:] = (low[1:] != low[:-1]) | (owner[begins[1:]] != owner[begins[:-1]])
+    new[1:] = (place[1:] != place[:-1]) | (owner[begins[1:]] != owner[begins[:-1]])
     at = np.flatnonzero(new)
     first, last = begins[at], begins[np.append(at[1:], len(begins)) - 1]
     size = last - first + 1
     starts, ends = first, last + WINDOW
 
-
     content = span_hashes(code, starts, ends) ^ (span_hashes(code, starts, ends, _SECOND) << np.uint64(1))
     return owner[first], first - cut[owner[first]], size, low[at].view(np.int64), content.view(np.int64)
 
@@ -298,8 +301,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     # texts of one key are equal: repeated rows would only repeat the same stretches
     parts = materialise(
-        texts.join(wanted, "key").select("text", "wanted", "key")
-        .mapInArrow(_read_named, "shard long, content long, times long, kinds long, symbols binary")
+        texts.join(wanted, "key").select("text", "wanted")
+        .mapInArrow(_read, "shard long, content long, times long, kinds long, symbols binary")
         .dropDuplicates(["shard", "content"])
     )
     small = (
@@ -336,10 +339,6 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def _read_named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _read(batches)
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text."""
     rows = document_columns(docs).select("doc_id", "text", row_key().alias("key"))
