@@ -16,7 +16,7 @@ and the count of its state says how often that window occurs in the shard. Shard
 the bound, such as the edges of a passage that a third of all documents share, are counted
 by the hash of each window instead, which gives the same answer and needs no group.
 
-Words enter as 64-bit hashes.
+Words enter as 64-bit hashes; a text is known by two.
 
 Cases: a null or empty text has no words; a text with fewer words than a window keeps them.
 Repeated rows and copies are occurrences of one another. Overlapping occurrences inside one
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saldora.llm.rows import document_columns, row_key
+from saldora.llm.rows import document_columns
 from saldora.llm.textbytes import mix, slices, span_hashes, window_hashes, word_hashes, words
 from saldora.session import materialise
 
@@ -167,10 +167,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, first, size, low, content = stretches(word_hashes(data, starts, ends), cut)
         yield pa.RecordBatch.from_arrays(
             [
-                rows.column(0).take(pa.array(owner)), pa.array(first, pa.int64()).cast(pa.int32()),
+                *(c.take(pa.array(owner)) for c in rows.columns[:2]), pa.array(first, pa.int64()).cast(pa.int32()),
                 pa.array(size, pa.int64()).cast(pa.int32()), pa.array(low, pa.int64()), pa.array(content, pa.int64()),
             ],
-            names=["key", "first", "size", "shard", "content"],
+            names=["k1", "k2", "first", "size", "shard", "content"],
         )
 
 
@@ -280,70 +280,67 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ------------------------------------------------------------------ operator
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """key (row_key), spans (lo, hi): the words of repeated windows, in word positions."""
-    texts = docs.select(row_key().alias("key"), "text")
-    cut = materialise(
-        texts.mapInArrow(_cut, "key string, first int, size int, shard long, content long")
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with two 64-bit hashes of their text: what is removed depends on the text only."""
+    return document_columns(docs).select(
+        F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), "doc_id", "text"
     )
-    kinds = cut.groupBy("shard", "content").agg(
-        F.count("*").alias("times"), F.min(F.struct("key", "first", "size")).alias("place")
+
+
+def repeated_spans(rows: DataFrame) -> DataFrame:
+    """k1, k2, spans (lo, hi): the words of repeated windows of each text, by word position."""
+    cut = rows.select("k1", "k2", "text").mapInArrow(
+        _cut, "k1 long, k2 long, first int, size int, shard long, content long"
     )
-    kinds = materialise(kinds)
-    shards = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.sum("times").alias("all"))
-    known = materialise(
-        kinds.join(shards.where("all > 1"), "shard").select("shard", "content", "times", "kinds", "place")
+    # one row per shard and task leaves the map side, however many copies there are
+    shards = cut.groupBy("shard").agg(
+        F.count("*").alias("all"), F.min("content").alias("low"), F.max("content").alias("high")
+    ).where("all > 1").select("shard", F.expr("low != high").alias("mixed"))
+    known = materialise(cut.join(shards, "shard"))
+    mixed = known.where("mixed")
+    kinds = mixed.groupBy("shard", "content").agg(
+        F.count("*").alias("times"), *[F.first(c).alias(c) for c in ("k1", "k2", "first", "size")]
     )
-    wanted = (
-        known.where("kinds > 1")
-        .groupBy(F.col("place.key").alias("key"))
-        .agg(F.collect_list(F.struct("shard", "content", "times", "kinds", "place.first", "place.size")).alias("wanted"))
+    per_shard = mixed.groupBy("shard").agg(F.approx_count_distinct("content", 0.02).alias("kinds"))
+    kinds = materialise(kinds.join(per_shard, "shard"))
+    wanted = kinds.groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("shard", "content", "times", "kinds", "first", "size")).alias("wanted")
     )
-    # texts of one key are equal: repeated rows would only repeat the same stretches
-    parts = materialise(
-        texts.join(wanted, "key").select("text", "wanted")
+    # rows of one text are equal: they give the same stretches, of which one is kept; all
+    # columns of rows are read, so that this exchange of the texts serves the last join too
+    parts = (
+        rows.join(wanted, ["k1", "k2"]).select("text", "wanted", "doc_id")
         .mapInArrow(_read, "shard long, content long, times long, kinds long, symbols binary")
-        .dropDuplicates(["shard", "content"])
+        .groupBy("shard", "content").agg(*[F.first(c).alias(c) for c in ("times", "kinds", "symbols")])
     )
     small = (
         parts.where(F.col("kinds") <= SHARD)
         .groupBy("shard").agg(F.collect_list(F.struct("content", "times", "symbols")).alias("parts"))
         .mapInArrow(_stream, "shard long, content long, windows array<int>")
-        .select("shard", "content", F.explode("windows").alias("at"))
     )
     single = parts.where(F.col("kinds") > SHARD).mapInArrow(
         _explode, "shard long, content long, times long, at long, one long, two long"
     )
     counted = single.groupBy("one", "two").agg(F.sum("times").alias("all")).where("all > 1")
-    large = single.join(counted, ["one", "two"]).select("shard", "content", F.col("at").cast("int").alias("at"))
-    windows = small.unionByName(large).groupBy("shard", "content").agg(F.collect_list("at").alias("windows"))
-    whole = known.where("times > 1").select(
-        "shard", "content", F.lit(None).cast("array<int>").alias("windows")
+    large = (
+        single.join(counted, ["one", "two"])
+        .groupBy("shard", "content").agg(F.collect_list(F.col("at").cast("int")).alias("windows"))
     )
-    partly = windows.join(known.where("times > 1"), ["shard", "content"], "left_anti").select(
-        "shard", "content", "windows"
+    found = small.unionByName(large)
+    whole = F.array(F.struct(F.col("first").alias("lo"), (F.col("first") + F.col("size") + WINDOW - 1).alias("hi")))
+    each = F.transform(
+        "windows", lambda w: F.struct((F.col("first") + w).alias("lo"), (F.col("first") + w + WINDOW).alias("hi"))
     )
-    hits = cut.join(whole.unionByName(partly), ["shard", "content"])
-    spans = hits.select(
-        "key",
-        F.when(
-            F.col("windows").isNull(),
-            F.array(F.struct(F.col("first").alias("lo"), (F.col("first") + F.col("size") + WINDOW - 1).alias("hi"))),
-        ).otherwise(
-            F.transform(
-                "windows",
-                lambda w: F.struct((F.col("first") + w).alias("lo"), (F.col("first") + w + WINDOW).alias("hi")),
-            )
-        ).alias("spans"),
+    hits = known.where("not mixed").select("k1", "k2", whole.alias("spans")).unionByName(
+        mixed.join(found, ["shard", "content"]).select("k1", "k2", each.alias("spans"))
     )
-    return spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return hits.groupBy("k1", "k2").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text."""
-    rows = document_columns(docs).select("doc_id", "text", row_key().alias("key"))
-    spans = repeated_spans(rows.select("doc_id", "text"))
-    joined = rows.join(spans, "key", "left").select("doc_id", "spans", "text")
+    rows = _named(docs)
+    joined = rows.join(repeated_spans(rows), ["k1", "k2"], "left").select("doc_id", "spans", "text")
     return joined.mapInArrow(
         _keep, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
