@@ -64,7 +64,7 @@ def k3(s, d):
 
 
 add("k3_kmeans_restarts", k3)
-add("k4_evaluate_k", lambda s, d: sg.evaluate_k(scaled(s, d), sg.FEATURES, restarts=2))
+add("k4_evaluate_k", lambda s, d: sg.evaluate_k(scaled(s, d), sg.FEATURES))
 DIST = "sqrt(" + " + ".join(f"(p.{c} - q.{c}) ** 2" for c in sg.FEATURES) + ")"
 add("k5_silhouette",
     lambda s, d: _r(sg.silhouette(scaled_stand_in(s, d), sg.FEATURES, "segment", "customer_id"), 6, "silhouette"),
@@ -89,7 +89,7 @@ add("k6_davies_bouldin",
 
 def k7(s, d):
     """Segments of all customers, and the churn they go with."""
-    return sg.segment_customers(track_a(s, d), restarts=3)
+    return sg.segment_customers(track_a(s, d))
 
 
 add("k7_segment_assignment", k7)

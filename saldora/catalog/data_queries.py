@@ -171,7 +171,7 @@ def saved_star(spark, sf):
     path = scratch_path(spark, "namespaces")
     create_namespaces(spark, path)
     tables = star_track_a(track_a(spark, sf))
-    save_tables(tables, path, buckets=8)
+    save_tables(tables, path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return {n: spark.table(n) for n in tables}
 
 

@@ -1,7 +1,6 @@
 """Features, splits, preprocessing, models and their interpretation (F1..F18, E10..E13).
 
-Registered model queries run the library's code path with smaller settings (trees, folds,
-repeats) than its defaults; they always train and score on whole tables.
+Registered model queries use the library's published settings and whole tables.
 """
 
 from __future__ import annotations
@@ -19,13 +18,11 @@ from saldora.operators import evaluate as ev
 from saldora.operators import features as ft
 from saldora.operators import models as md
 from saldora.operators.relational import mode_of
+from saldora.session import scratch_path
 
 BOOK = Book()
 add = BOOK.add
 
-# Settings of the registered model queries.
-TREES, FOLDS, REPEATS = 20, 2, 2
-
 
 def _r(df, digits, *cols):
     return df.withColumns({c: round_to(c, digits) for c in cols})
@@ -141,17 +138,17 @@ add("f7_stratified_split_campaign",
 add("f8_stratified_folds",
     lambda s, d: ft.stratified_folds(a_split(s, d)[0], "label", "customer_id").select("customer_id", "label", "fold"),
     with_roles(A_SPLIT, "SELECT customer_id, label, (ntile(5) OVER (PARTITION BY label ORDER BY h, customer_id) - 1)::INT AS fold FROM train"))
-add("f9_cross_validation", lambda s, d: md.cv_summary(md.cross_validate(a_split(s, d)[0], ft.TRACK_A, FOLDS, TREES, names=[md.TREE, md.FOREST])))
+add("f9_cross_validation", lambda s, d: md.cv_summary(md.cross_validate(a_split(s, d)[0], ft.TRACK_A)))
 add("f10_class_weights", lambda s, d: _r(ft.class_weights(a_split(s, d)[0]), 8, "weight"),
     with_roles(A_SPLIT, f"SELECT label, count(*) AS n, {r('(SELECT count(*) FROM train)::DOUBLE / ((SELECT count(DISTINCT label) FROM train) * count(*))', 8)} AS weight FROM train GROUP BY 1"))
 
 
-def _fitted(s, d, names=None, track="a", trees=TREES):
+def _fitted(s, d, names=None, track="a"):
     train, test = a_split(s, d) if track == "a" else b_split(s, d)
     spec = ft.TRACK_A if track == "a" else ft.TRACK_B
     train = train.persist()
     try:
-        return md.fit_models(train, spec, trees, names=names), test
+        return md.fit_models(train, spec, names=names), test
     finally:
         train.unpersist()
 
@@ -181,8 +178,8 @@ def f15(s, d):
     """Preprocessing and classifier applied as one unit to raw test rows, both tracks."""
     parts = []
     for t in "ab":
-        fitted, test = _fitted(s, d, [md.TREE], t)
-        parts.append(fitted[md.TREE].score(test).agg(
+        fitted, test = _fitted(s, d, [md.LOGISTIC], t)
+        parts.append(fitted[md.LOGISTIC].score(test).agg(
             F.count(F.lit(1)).alias("scored"), F.avg("prob").alias("avg_prob")).select(F.lit(t).alias("track"), "scored", "avg_prob"))
     return parts[0].unionByName(parts[1])
 
@@ -225,8 +222,7 @@ add("f17_feature_guard", f17, with_roles(B, """
 
 def f18(s, d):
     spec = ft.leaky_spec(ft.TRACK_B, "duration")
-    return md.leaky_benchmark(ft.track_b_features(track_b(s, d), spec), ft.TRACK_B, "duration", trees=TREES,
-                              names=[md.TREE, md.FOREST])
+    return md.leaky_benchmark(ft.track_b_features(track_b(s, d), spec), ft.TRACK_B, "duration")
 
 
 add("f18_leaky_benchmark", f18)
@@ -258,7 +254,7 @@ def e12(s, d):
 
 def e13(s, d):
     fitted, test = _fitted(s, d, [md.FOREST])
-    return md.permutation_importance(fitted[md.FOREST], test, ft.TRACK_A.features, REPEATS)
+    return md.permutation_importance(fitted[md.FOREST], test, ft.TRACK_A.features)
 
 
 add("e11_logistic_coefficients", e11)
@@ -280,9 +276,16 @@ add("e13_shuffled_donors", e13_donors, with_roles(A, """
     sum(age * age)::BIGINT AS sq_before, sum(age * age)::BIGINT AS sq_after FROM a"""))
 
 
-def f16_run(s, d):
-    """A whole track in one go: split, folds, fits, sweep, interpretation; its comparison."""
-    return md.run_track(a_features(s, d), ft.TRACK_A, TREES, FOLDS, REPEATS, names=[md.TREE, md.FOREST])["comparison"]
+def _track_run(features, spec):
+    """A whole track in one go, its result tables written as CSV and read back in long form.
+
+    Columns: "table", "row" (what the row is about), measure, value.
+    """
+    def run(s, d):
+        tables = md.read_results(s, md.write_results(md.run_track(features(s, d), spec), scratch_path(s, spec.name)))
+        return md.long_results(tables)
+    return run
 
 
-add("f16_track_a_run", f16_run)
+add("f16_track_a_run", _track_run(a_features, ft.TRACK_A))
+add("f16_track_b_run", _track_run(b_features, ft.TRACK_B))

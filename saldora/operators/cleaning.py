@@ -152,11 +152,29 @@ def clean_churn(raw: DataFrame, key: str = "customer_id") -> Cleaned:
     return Cleaned(clean, report)
 
 
-def _contact_counts(clean: DataFrame, rows: str) -> DataFrame:
+def _copies(df: DataFrame) -> DataFrame:
+    """Different rows with their number ``__n``; copies combine map-side."""
+    return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _all_copies() -> Column:
+    return F.coalesce(F.sum("__n"), F.lit(0))
+
+
+def _contact_counts(
+    clean: DataFrame, rows: str, weight: Column | None = None, **more: Column
+) -> DataFrame:
+    """Rows in all and by contact flag; ``weight`` is how many rows a row stands for."""
+    one = F.lit(1).cast("long") if weight is None else weight
+
+    def total(when: Column) -> Column:
+        return F.coalesce(F.sum(F.when(when, one)), F.lit(0))
+
     return clean.agg(
-        F.count(F.lit(1)).alias(rows),
-        F.count_if(F.col("previous_contact_flag")).alias("previously_contacted_count"),
-        F.count_if(~F.col("previous_contact_flag")).alias("never_contacted_count"),
+        total(F.lit(True)).alias(rows),
+        total(F.col("previous_contact_flag")).alias("previously_contacted_count"),
+        total(~F.col("previous_contact_flag")).alias("never_contacted_count"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
@@ -168,22 +186,18 @@ def _split_pdays(df: DataFrame, sentinel: int) -> DataFrame:
 
 def clean_campaign(raw: DataFrame) -> Cleaned:
     """Track B primary: exact duplicates removed, pdays split, 'unknown' kept."""
-    clean = _split_pdays(drop_duplicates(raw), NEVER_PRIMARY)
-    n_in = raw.agg(F.count(F.lit(1)).alias("original_rows"))
-    report = (
-        _contact_counts(clean, "rows_after_dedup")
-        .withColumn("original_rows", n_in.scalar())
-        .withColumn(
-            "duplicate_rows_removed", F.col("original_rows") - F.col("rows_after_dedup")
-        )
+    # one grouping gives the rows that stay and how many there were of each
+    copies = _split_pdays(_copies(raw), NEVER_PRIMARY)
+    report = _contact_counts(copies, "rows_after_dedup", original_rows=_all_copies()).withColumn(
+        "duplicate_rows_removed", F.col("original_rows") - F.col("rows_after_dedup")
     )
-    return Cleaned(clean, report)
+    return Cleaned(copies.drop("__n"), report)
 
 
 def clean_campaign_secondary(raw: DataFrame) -> Cleaned:
     """Track B secondary: duplicates only counted, pdays split, 'unknown' kept."""
     clean = _split_pdays(raw, NEVER_SECONDARY)
-    report = _contact_counts(clean, "final_rows").withColumn(
-        "duplicate_rows_found", duplicate_count(raw).scalar()
-    )
+    copies = _split_pdays(_copies(raw), NEVER_SECONDARY)
+    found = F.coalesce(F.sum(F.col("__n") - 1), F.lit(0))
+    report = _contact_counts(copies, "final_rows", F.col("__n"), duplicate_rows_found=found)
     return Cleaned(clean, report)

@@ -250,18 +250,19 @@ def risk_by_segment(scores: DataFrame, segments: DataFrame, key: str) -> DataFra
 
 
 def shuffled_donors(
-    df: DataFrame, cols: Sequence[str], key: str, seed: int, rows_per_block: int = 100_000
+    df: DataFrame, cols: Sequence[str], key: str, seed: int, blocks: int | None = None
 ) -> DataFrame:
     """Add ``donor``: a struct of ``cols`` taken from a random other row.
 
-    Rows fall into random blocks of about ``rows_per_block`` by key hash and pass their
-    values once round the block in a second random order, so every value is used exactly
-    once: a random permutation that costs one evenly spread exchange.
+    Rows fall into random blocks by key hash and pass their values once round the block in
+    a second random order, so every value is used exactly once: a random permutation that
+    costs one evenly spread exchange. The number of blocks follows the session's shuffle
+    partitions and not the rows, so it is the same kind of permutation at every size.
     """
     from pyspark.sql import Window
 
-    n = df.count()
-    blocks = max(1, n // rows_per_block)
+    if blocks is None:
+        blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     placed = df.withColumn(
         "__block", (key_hash(key, seed=seed) % F.lit(blocks)).cast("int")
     ).withColumn("__pos", key_hash(key, seed=seed + 1_000_003))

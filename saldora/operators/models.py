@@ -22,8 +22,9 @@ from saldora.operators.features import (
     stratified_split, with_weights,
 )
 from saldora.operators.rank import value_splits
-from saldora.operators.relational import mean_std, sort_by_abs
+from saldora.operators.relational import mean_std, quoted, sort_by_abs
 from saldora.session import local_frame, right_size, small
+from saldora.sources import write_csv
 
 # Model names and settings.
 LOGISTIC = "Logistic Regression"
@@ -264,6 +265,45 @@ def run_track(
     return out
 
 
+# The result tables of a track run and what their rows are about.
+RESULT_KEYS = {
+    "cv": "model", "comparison": "model", "thresholds": "threshold", "coefficients": "feature",
+    "importance": "feature", "permutation": "feature",
+}
+
+
+def write_results(results: dict[str, DataFrame], folder: str) -> str:
+    """The result tables of ``run_track`` as CSV files with a header, one folder each."""
+    for name in RESULT_KEYS:
+        if name in results:
+            write_csv(results[name], f"{folder}/{name}")
+    return folder
+
+
+def read_results(spark, folder: str) -> dict[str, DataFrame]:
+    """What ``write_results`` has written; values keep their written form."""
+    return {
+        name: spark.read.option("header", True).csv(f"{folder}/{name}") for name in RESULT_KEYS
+    }
+
+
+def long_results(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, row, measure, value) of all tables, values as doubles (true is 1)."""
+    parts = []
+    for name, table in tables.items():
+        key = RESULT_KEYS[name]
+        measures = [c for c in table.columns if c != key]
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(quoted(c)).alias("value")) for c in measures
+        ])
+        parts.append(
+            table.select(F.lit(name).alias("table"), F.col(key).cast("string").alias("row"), F.inline(cells))
+        )
+    value = F.when(F.lower("value") == "true", 1.0).when(F.lower("value") == "false", 0.0)
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("value", F.coalesce(value, F.col("value").try_cast("double")))
+
+
 def leaky_benchmark(
     features: DataFrame, spec: TrackSpec, column: str, trees: int = FOREST_TREES,
     seed: int = SEED, names: Sequence[str] | None = None,

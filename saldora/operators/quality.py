@@ -258,17 +258,18 @@ def inventory(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(column, type, missing_pct, distinct_count, min_value, max_value), one pass.
+    """(column, type, missing_pct, distinct_count, min_value, max_value).
 
-    Minimum and maximum are given for numeric columns. ``approx=True`` counts distinct
-    values with a sketch, which spares the exact count's expansion of every row.
+    Minimum and maximum are given for numeric columns. Exact distinct counts group the long
+    form (column, value), whose copies combine map-side; ``approx=True`` counts with a
+    sketch in the pass of the other measures.
     """
     aggs, rows = [F.count(F.lit(1)).alias("__rows")], []
     for i, f in enumerate(df.schema):
         c = quoted(f.name)
         numeric = isinstance(f.dataType, T.NumericType)
         sketch = F.hll_sketch_agg(c.cast("string"), 14)
-        distinct = F.hll_sketch_estimate(sketch) if approx else F.count_distinct(c)
+        distinct = F.hll_sketch_estimate(sketch) if approx else F.lit(None).cast("long")
         aggs += [F.count(c).alias(f"n{i}"), distinct.alias(f"d{i}")]
         if numeric:
             aggs += [
@@ -288,7 +289,24 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
                 (F.col(f"hi{i}") if numeric else empty).alias("max_value"),
             )
         )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    measures = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if approx:
+        return measures
+    counted = distinct_counts(df, df.columns).withColumnRenamed("distinct_count", "__d")
+    order = measures.columns
+    return (
+        measures.join(counted, "column", "left")
+        .withColumn("distinct_count", F.coalesce("__d", F.lit(0).cast("long")))
+        .select(*order)
+    )
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, distinct_count) of the columns that hold a value; values by their text."""
+    from saldora.operators.relational import long_values
+
+    seen = long_values(df, cols).filter(F.col("value").isNotNull()).distinct()
+    return seen.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_count"))
 
 
 def level_shares(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
@@ -339,14 +357,7 @@ def skew_audit(
 
 def high_cardinality(df: DataFrame, cols: Sequence[str], threshold: int) -> DataFrame:
     """(column, distinct_count) of the columns with more levels than the threshold."""
-    seen = df.agg(*[F.count_distinct(quoted(c)).alias(f"c{i}") for i, c in enumerate(cols)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("distinct_count"))
-            for i, c in enumerate(cols)
-        ]
-    )
-    return seen.select(F.inline(rows)).filter(F.col("distinct_count") > threshold)
+    return distinct_counts(df, cols).filter(F.col("distinct_count") > threshold)
 
 
 def target_balance(frames: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:

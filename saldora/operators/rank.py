@@ -35,6 +35,8 @@ GRID = 500
 ACCURACY = 20 * GRID
 # Groups whose sketches (GRID + 1 values each) the driver may hold: about 8 MB.
 EDGE_ROWS = 2_000
+# Partitions whose cut points become part of an expression.
+MAX_PARTITIONS = 200
 _GRID_SQL = "array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")"
 
 
@@ -171,7 +173,10 @@ def group_quantiles(
 ) -> DataFrame:
     """(keys, prob, value): exact quantiles with linear interpolation, NULLs skipped."""
     df, by = keyed(df, keys)
-    df = df.selectExpr(*map(quote, by), f"cast({quote(value)} AS double) AS {quote(value)}")
+    # several passes follow: the narrow rows are stored once instead of made again each time
+    df = materialise(
+        df.selectExpr(*map(quote, by), f"cast({quote(value)} AS double) AS {quote(value)}")
+    )
     slots = ", ".join(
         f"""struct({i} AS slot, cast(floor({float(p)}D * (n - 1)) + 1 AS bigint) AS rmin,
             cast(ceil({float(p)}D * (n - 1)) + 1 AS bigint) AS rmax)"""
@@ -238,7 +243,10 @@ def cut_points(
     df, keys = keyed(df, partition)
     df = df.select(*keys, F.col(by).alias("__by"), F.col(key).cast("long").alias("__key"))
     edges = small(rank_edges(df, "__by", keys), EDGE_ROWS)
-    counts = {tuple(r[k] for k in keys): r["n"] for r in edges.select(*keys, "n").collect()}
+    groups = edges.select(*keys, "n").limit(MAX_PARTITIONS + 1).collect()
+    if len(groups) > MAX_PARTITIONS:
+        raise ValueError(f"more than {MAX_PARTITIONS} partitions to cut; use a window")
+    counts = {tuple(r[k] for k in keys): r["n"] for r in groups}
     wanted = [
         (*g, j, int(r))
         for g, ranks in ranks_of(counts).items()
@@ -308,11 +316,12 @@ def with_ntile(
     """``ntile(tiles) OVER (PARTITION BY partition ORDER BY by NULLS LAST, key)``.
 
     Finds the tile boundaries by selection and labels rows by comparison: rows are
-    not sorted and not shuffled.
+    not sorted and not shuffled. They are stored once, as selection reads them more than
+    once, so hand over the columns that are wanted only.
     """
     order = "__ntile_by"
-    numeric = df.withColumn(
-        order, F.coalesce(F.col(by).cast("double"), F.lit(float("inf")))
+    numeric = materialise(
+        df.withColumn(order, F.coalesce(F.col(by).cast("double"), F.lit(float("inf"))))
     )
     cuts = cut_points(
         numeric, order, key, lambda counts: {g: tile_ends(n, tiles) for g, n in counts.items()},

@@ -67,12 +67,15 @@ def churn_summary(profile: DataFrame) -> DataFrame:
         round_to("churn_rate", 4).alias("churn_rate"),
         round_to("avg_current_balance", 2).alias("avg_current_balance"),
         round_to("median_current_balance", 2).alias("median_current_balance"),
-    )
+    ).orderBy(*keys)
 
 
-def _churn_by(profile: DataFrame, key, name: str) -> DataFrame:
+def _churn_by(profile: DataFrame, key, name: str, largest_first: bool = False) -> DataFrame:
+    """Report rows by name, or by falling count and then name."""
     out = rate_by(profile, [key], {"customer_count": "customers", "churn_rate": "churn_rate"})
-    return out.select(name, "customer_count", round_to("churn_rate", 4).alias("churn_rate"))
+    return out.select(
+        name, "customer_count", round_to("churn_rate", 4).alias("churn_rate")
+    ).orderBy(*([F.desc("customer_count")] if largest_first else []), name)
 
 
 def overall_churn(profile: DataFrame) -> DataFrame:
@@ -99,11 +102,11 @@ def churn_by_balance_quartile(profile: DataFrame, tiles: int = 4) -> DataFrame:
         round_to(F.min("current_balance"), 2).alias("min_balance"),
         round_to(F.max("current_balance"), 2).alias("max_balance"),
         round_to(F.avg(F.col("churn").cast("double")), 4).alias("churn_rate"),
-    )
+    ).orderBy("balance_quartile")
 
 
 def churn_by_recency(profile: DataFrame) -> DataFrame:
-    return _churn_by(profile, recency_band().alias("recency_band"), "recency_band")
+    return _churn_by(profile, recency_band().alias("recency_band"), "recency_band", largest_first=True)
 
 
 def _occupation_tier(profile: DataFrame) -> DataFrame:

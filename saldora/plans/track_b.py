@@ -15,16 +15,19 @@ MIN_GROUP = 200
 TOP = 10
 
 
-def _adoption_by(df: DataFrame, keys: list[str | Column], names: list[str]) -> DataFrame:
-    out = rate_by(df, keys, ["observation_count", "adoption_rate"])
-    return out.select(
+def _adoption_by(
+    df: DataFrame, keys: list[str | Column], names: list[str], order: str | None = "adoption_rate"
+) -> DataFrame:
+    """Report rows by falling ``order``, equal ones by name; by name alone without it."""
+    out = rate_by(df, keys, ["observation_count", "adoption_rate"]).select(
         *names, "observation_count", round_to("adoption_rate", 4).alias("adoption_rate")
     )
+    return out.orderBy(*([F.desc(order)] if order else []), *names)
 
 
 def campaign_summary(contacts: DataFrame) -> DataFrame:
     """Month x weekday."""
-    return _adoption_by(contacts, ["month", "day_of_week"], ["month", "day_of_week"])
+    return _adoption_by(contacts, ["month", "day_of_week"], ["month", "day_of_week"], "observation_count")
 
 
 def adoption_summary(contacts: DataFrame) -> DataFrame:
@@ -42,7 +45,7 @@ def overall_adoption(contacts: DataFrame) -> DataFrame:
 
 
 def adoption_by_age_band(contacts: DataFrame) -> DataFrame:
-    return _adoption_by(contacts, [age_band().alias("age_band")], ["age_band"])
+    return _adoption_by(contacts, [age_band().alias("age_band")], ["age_band"], None)
 
 
 def adoption_by(contacts: DataFrame, attribute: str) -> DataFrame:
@@ -67,7 +70,7 @@ def adoption_by_outcome(contacts: DataFrame) -> DataFrame:
 
 
 def adoption_by_previous_contact(contacts: DataFrame) -> DataFrame:
-    return adoption_by(contacts, "previous_contact_flag")
+    return _adoption_by(contacts, ["previous_contact_flag"], ["previous_contact_flag"], None)
 
 
 def above_average_groups(
@@ -94,4 +97,4 @@ def adoption_by_balance_quartile(secondary: DataFrame, tiles: int = 4) -> DataFr
         round_to(F.min("balance"), 2).alias("min_balance"),
         round_to(F.max("balance"), 2).alias("max_balance"),
         round_to(F.avg(adopted()), 4).alias("adoption_rate"),
-    )
+    ).orderBy("balance_quartile")

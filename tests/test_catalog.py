@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
 
 import duckdb
 import pytest
@@ -15,13 +14,6 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
-# Model fits and k sweeps; run with SALDORA_SLOW=1.
-SLOW = {
-    "f9_cross_validation", "f11_logistic_regression", "f13_random_forest_campaign",
-    "f15_preprocess_and_score", "f16_model_selection", "f16_track_a_run",
-    "f18_leaky_benchmark", "e11_logistic_coefficients", "k3_kmeans_restarts", "k4_evaluate_k",
-}
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
@@ -48,8 +40,6 @@ def test_oracles_belong_to_queries():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    if name in SLOW and not os.environ.get("SALDORA_SLOW"):
-        pytest.skip("slow; set SALDORA_SLOW=1")
     df = QUERIES[name](spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
     if name not in ORACLE:

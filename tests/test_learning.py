@@ -109,7 +109,7 @@ def test_confusion_edges(spark):
 
 def test_donors_permute_all_rows(spark):
     df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("x"))
-    out = ev.shuffled_donors(df, ["k", "x"], "k", seed=1, rows_per_block=500)
+    out = ev.shuffled_donors(df, ["k", "x"], "k", seed=1, blocks=10)
     pdf = out.select("k", F.col("donor.k").alias("d"), F.col("donor.x").alias("x")).toPandas()
     assert sorted(pdf.d) == list(range(5000)) and (pdf.x == 3 * pdf.d).all()
     assert abs(np.corrcoef(pdf.k, pdf.d)[0, 1]) < 0.06

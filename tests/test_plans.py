@@ -81,3 +81,26 @@ def test_overall_value_is_a_scalar_subquery(spark, sf_dir, name):
 
     text = plan(catalog.queries()[name](spark, sf_dir))
     assert "Subquery" in text and "NestedLoop" not in text and "TakeOrderedAndProject" in text
+
+
+@pytest.mark.parametrize("name, keys", [
+    ("qa5_churn_by_recency", [("customer_count", -1), ("recency_band", 1)]),
+    ("qb0_campaign_summary", [("observation_count", -1), ("month", 1), ("day_of_week", 1)]),
+    ("qb3_adoption_by_job", [("adoption_rate", -1), ("job", 1)]),
+    ("qa4_churn_by_balance_quartile", [("balance_quartile", 1)]),
+])
+def test_reports_come_in_order(spark, sf_dir, name, keys):
+    from saldora import catalog
+
+    rows = [r.asDict() for r in catalog.queries()[name](spark, sf_dir).collect()]
+    expected = rows
+    for key, sign in reversed(keys):
+        expected = sorted(expected, key=lambda r: r[key], reverse=sign < 0)
+    assert len(rows) > 1 and rows == expected
+
+
+def test_selection_reads_its_input_once(spark, sf_dir):
+    from saldora import catalog
+
+    text = plan(catalog.queries()["qb9_adoption_by_balance_quartile"](spark, sf_dir))
+    assert "FileScan" not in text and "Join" not in text  # the stored rows, not the join again
