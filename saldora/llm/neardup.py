@@ -17,10 +17,12 @@ expanded into pairs. Instead
    the other leaders that its links have not already reached;
 2. in buckets that still hold several classes, the members outside the largest class are
    compared with all members, in blocks of bounded size, by their signatures; pairs whose
-   estimate is within ``MARGIN`` (over four standard deviations) of the bound go on.
+   estimate is within ``MARGIN`` (over four standard deviations) of the bound go on. They
+   stay arrays of their block, to which each member's set is brought once.
 
-Every pair that goes on is verified on the exact weighted sets. Two documents of one bucket
-that end up in different classes have thus been compared.
+Every pair that goes on is verified on the exact weighted sets, unless its classes have been
+connected by then. Two documents of one bucket that end up in different classes have thus
+been compared.
 
 Cases: equal texts are one node (64-bit text hash) and always one class. A text of one to
 four words has one shingle, its words; texts without words are linked to equal texts only.
@@ -49,6 +51,7 @@ ROWS = 4
 MARGIN = 0.1
 STRAYS = 512
 MEMBERS = 2_048
+BLOCK_SHINGLES = 1 << 20
 _DOCS = 1 << 12  # documents in one sort key
 _CODE_BITS = 52
 
@@ -145,20 +148,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = rows.num_rows
         owner, code, count = weighted_sets(data, offsets)
         winner = prob_minhash(owner, code, weights(count), n)
-        has = np.bincount(owner, minlength=n) > 0
+        held = np.bincount(owner, minlength=n)
         bands = np.zeros((n, BANDS), dtype=np.uint64)
         for k in range(ROWS):
             bands = mix(bands + mix(winner[:, k : BANDS * ROWS : ROWS]))
         bands = mix(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
         low = winner.astype(np.uint16)
-        keep = np.flatnonzero(has)
+        keep = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays(
             [
                 rows.column(0).take(pa.array(keep)),
                 pa.array(list(bands[keep]), pa.list_(pa.int64())),
                 pa.array([low[i].tobytes() for i in keep], pa.binary()),
+                pa.array(held[keep], pa.int64()).cast(pa.int32()),
             ],
-            names=["node", "bands", "signature"],
+            names=["node", "bands", "signature", "shingles"],
         )
 
 
@@ -197,8 +201,8 @@ def text_node(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The (a, b) of ``pairs`` that reach ``least`` on their exact weighted sets."""
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that reach the bound on their exact weighted sets."""
     def side(name: str) -> DataFrame:
         return sets.select(
             F.col("node").alias(name), F.col("codes").alias(f"codes_{name}"),
@@ -209,7 +213,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return (
         joined.select("a", "b", "codes_a", "counts_a", "codes_b", "counts_b")
         .mapInArrow(_verify, "a long, b long, similarity double")
-        .where(F.col("similarity") >= least).select("a", "b")
+        .where(F.col("similarity") >= SIMILARITY).select("a", "b")
     )
 
 
@@ -219,6 +223,7 @@ def _with_class(df: DataFrame, comps: DataFrame, node: str, out: str) -> DataFra
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block the pairs whose estimate is near the bound, most alike first, as arrays."""
     least = SIMILARITY - MARGIN
 
     def unpack(value: pa.Scalar):
@@ -229,53 +234,94 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         return nodes, comps, signs.reshape(len(nodes), REGISTERS)
 
     for batch in batches:
-        left, right = [], []
+        out: list[list[np.ndarray]] = [[], [], [], []]
         for i in range(batch.num_rows):
             band = batch["band"][i].as_py()
             strays, members = unpack(batch["strays"][i]), unpack(batch["members"][i])
+            found: list[list[np.ndarray]] = [[], [], [], [], []]
             for at in range(0, len(strays[0]), 16):
                 part = slice(at, at + 16)
                 equal = strays[2][part][:, None, :] == members[2][None, :, :]
-                near = equal.mean(axis=2) >= least
-                near &= strays[1][part][:, None] != members[1][None, :]
-                s, m = np.nonzero(near)
-                # a pair is reported by the first of its common bands
+                share = equal.mean(axis=2)
+                s, m = np.nonzero((share >= least) & (strays[1][part][:, None] != members[1][None, :]))
+                # a pair is looked at in the first of its common bands
                 common = equal[s, m, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2)
                 own = common.argmax(axis=1) == band
-                left.append(strays[0][part][s[own]])
-                right.append(members[0][m[own]])
-        a = np.concatenate(left) if left else np.zeros(0, np.int64)
-        b = np.concatenate(right) if right else np.zeros(0, np.int64)
+                s, m = s[own], m[own]
+                for k, x in enumerate((
+                    strays[0][part][s], members[0][m], strays[1][part][s], members[1][m], -share[s, m]
+                )):
+                    found[k].append(x)
+            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found]
+            order = np.argsort(columns[4], kind="stable")
+            for k in range(4):
+                out[k].append(columns[k][order])
+        yield pa.RecordBatch.from_arrays(
+            [batch["block"], *(pa.array(x, pa.list_(pa.int64())) for x in out)],
+            names=["block", "a", "b", "comp_a", "comp_b"],
+        )
+
+
+def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of a block's pairs on their exact sets; a pair already connected needs none."""
+    for batch in batches:
+        left, right = [], []
+        for i in range(batch.num_rows):
+            sets = {
+                x["node"]: (
+                    np.frombuffer(x["codes"], dtype=np.uint64),
+                    weights(np.frombuffer(x["counts"], dtype=np.uint32)),
+                )
+                for x in batch["sets"][i].as_py()
+            }
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while root.setdefault(c, c) != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            for a, b, x, y in zip(*(batch[k][i].as_py() for k in ("a", "b", "comp_a", "comp_b"))):
+                if find(x) != find(y) and probability_jaccard(*sets[a], *sets[b]) >= SIMILARITY:
+                    root[find(x)] = find(y)
+                    left.append(a)
+                    right.append(b)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.maximum(a, b), pa.int64()), pa.array(np.minimum(a, b), pa.int64())], names=["a", "b"]
+            [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
         )
 
 
-def stray_pairs(members: DataFrame, comps: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in one bucket whose estimate is near the bound.
+def stray_links(members: DataFrame, comps: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between different classes of one bucket, enough to connect them.
 
     ``members`` (bucket, band, leader, node); in each bucket the nodes outside its largest
-    class are compared with all nodes, in blocks.
+    class are compared with all nodes, in blocks bounded by members and by shingles.
     """
     classed = _with_class(members, comps, "node", "comp")
     sizes = classed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("bucket").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"),
         F.max("n").alias("most"),
-    ).where("all > most and all > 2").select(
-        "bucket", "main",
-        F.ceil((F.col("all") - F.col("most")) / STRAYS).cast("int").alias("parts_s"),
-        F.ceil(F.col("all") / MEMBERS).cast("int").alias("parts_m"),
-    )
-    active = materialise(classed.join(buckets, "bucket"))
+    ).where("all > most and all > 2").select("bucket", "main")
+    # a leader has been compared with its whole bucket
+    stray = (F.col("comp") != F.col("main")) & (F.col("node") != F.col("leader"))
+    active = materialise(classed.join(buckets, "bucket").withColumn("stray", stray))
     # one signature per text, only of those that are still in question
     signs = active.select("node").distinct().join(signed.dropDuplicates(["node"]), "node")
-    rows = active.join(signs.select("node", "signature"), "node").withColumn(
+    rows = active.join(signs.select("node", "signature", "shingles"), "node")
+    parts = rows.groupBy("bucket").agg(
+        F.greatest(
+            F.ceil(F.count_if("stray") / STRAYS),
+            F.ceil(F.sum(F.when(F.col("stray"), F.col("shingles")).otherwise(0)) / BLOCK_SHINGLES),
+        ).cast("int").alias("parts_s"),
+        F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES))
+        .cast("int").alias("parts_m"),
+    ).where("parts_s > 0")
+    rows = rows.join(parts, "bucket").withColumn(
         "own_s", F.expr("pmod(xxhash64(node, 1), parts_s)").cast("int")
     ).withColumn("own_m", F.expr("pmod(xxhash64(node, 2), parts_m)").cast("int"))
     item = F.struct("node", "comp", "signature").alias("item")
-    # a leader has been compared with its whole bucket
-    s = rows.where("comp != main and node != leader").select(
+    s = rows.where("stray").select(
         "bucket", "band", F.col("own_s").alias("i"), F.explode(F.expr("sequence(0, parts_m - 1)")).alias("j"),
         F.lit(True).alias("stray"), item,
     )
@@ -287,13 +333,29 @@ def stray_pairs(members: DataFrame, comps: DataFrame, signed: DataFrame) -> Data
         F.collect_list(F.when(F.col("stray"), F.col("item"))).alias("strays"),
         F.collect_list(F.when(~F.col("stray"), F.col("item"))).alias("members"),
     ).where("size(strays) > 0 and size(members) > 0")
-    return blocks.select("band", "strays", "members").mapInArrow(_compare_blocks, "a long, b long").distinct()
+    near = materialise(
+        blocks.select(F.concat_ws(":", "bucket", "i", "j").alias("block"), "band", "strays", "members")
+        .mapInArrow(
+            _compare_blocks,
+            "block string, a array<long>, b array<long>, comp_a array<long>, comp_b array<long>",
+        ).where("size(a) > 0")
+    )
+    asked = near.select("block", F.explode(F.array_union("a", "b")).alias("node"))
+    gathered = asked.join(sets, "node").groupBy("block").agg(
+        F.collect_list(F.struct("node", "codes", "counts")).alias("sets")
+    )
+    return (
+        near.join(gathered, "block").select("a", "b", "comp_a", "comp_b", "sets")
+        .mapInArrow(_verify_blocks, "a long, b long").distinct()
+    )
 
 
-def near_duplicate_links(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def near_duplicate_links(docs: DataFrame) -> DataFrame:
     """(node, comp) for all texts with a link; node is ``text_node`` of the text."""
     texts = docs.select(text_node().alias("node"), "text")
-    signed = materialise(texts.mapInArrow(_sign, "node long, bands array<long>, signature binary"))
+    signed = materialise(
+        texts.mapInArrow(_sign, "node long, bands array<long>, signature binary, shingles int")
+    )
     placed = signed.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
     leaders = placed.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
     members = materialise(
@@ -307,20 +369,19 @@ def near_duplicate_links(docs: DataFrame, least: float = SIMILARITY) -> DataFram
     )
     stars = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     nearest = stars.groupBy("a").agg(F.min("b").alias("b"))
-    links = materialise(verified(nearest, sets, least))
+    links = materialise(verified(nearest, sets))
     comps = connected(links)
     crossing = _with_class(_with_class(stars.distinct(), comps, "a", "comp_a"), comps, "b", "comp_b")
     second = crossing.where("comp_a != comp_b").select("a", "b").join(nearest, ["a", "b"], "left_anti")
-    links = materialise(links.unionByName(verified(second, sets, least)))
+    links = materialise(links.unionByName(verified(second, sets)))
     comps = materialise(connected(links))
-    third = verified(stray_pairs(members, comps, signed), sets, least)
-    return connected(links.unionByName(third))
+    return connected(links.unionByName(stray_links(members, comps, signed, sets)))
 
 
-def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, node, comp, class_id (least doc_id of its class), n_class."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    comps = near_duplicate_links(rows, least)
+    comps = near_duplicate_links(rows)
     own = rows.select("doc_id", text_node().alias("node"))
     texts = own.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     classed = materialise(_with_class(texts, comps, "node", "comp"))
@@ -331,13 +392,13 @@ def near_duplicate_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFr
     return own.join(by_text, "node").select("doc_id", "node", "comp", "class_id", "n_class")
 
 
-def keep_one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their class: its least doc_id.
 
     In a class of null ids the least text hash stays; of rows with one id and several texts
     the least text hash, of repeated rows one.
     """
-    classes = near_duplicate_classes(docs, least)
+    classes = near_duplicate_classes(docs)
     keep = materialise(
         classes.groupBy("comp").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")
