@@ -315,6 +315,11 @@ def document_probabilities(
     return total / np.maximum(1, sizes)[:, None]
 
 
+def has_letter(text: str) -> bool:
+    found = _LETTER.search(text)  # also finds number signs such as a superscript two
+    return found is not None and (found[0].isalpha() or any(c.isalpha() for c in text))
+
+
 def predict(docs: DataFrame, net: Network) -> DataFrame:
     """doc_id, lang_pred, score of every row. The network is a few kilobytes per language."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(net))
@@ -326,7 +331,7 @@ def predict(docs: DataFrame, net: Network) -> DataFrame:
             if model.languages:
                 p = document_probabilities(model, data, offsets)
                 for i, text in enumerate(rows.column(1)):
-                    if _LETTER.search(text.as_py() or ""):
+                    if has_letter(text.as_py() or ""):
                         k = int(p[i].argmax())
                         best[i], score[i] = model.languages[k], min(1.0, float(p[i, k]))
             yield pa.RecordBatch.from_arrays(

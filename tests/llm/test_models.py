@@ -92,6 +92,11 @@ def test_held_out_is_never_learnt(spark):
     assert language.train(only, ~held_out(3, 1)).languages == []
 
 
+def test_letters():
+    assert language.has_letter("2é") and language.has_letter("²x") and language.has_letter("字")
+    assert not any(map(language.has_letter, ("", "12 ²Ⅷ _-", "!?")))
+
+
 def test_gradients():
     net = language.Network.start(["a", "b", "c"], 4, 6)
     net.inputs = [x.astype(np.float64) for x in net.inputs]
