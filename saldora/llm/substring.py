@@ -296,6 +296,9 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     shards = cut.groupBy("shard").agg(
         F.count("*").alias("all"), F.min("content").alias("low"), F.max("content").alias("high")
     ).where("all > 1").select("shard", F.expr("low != high").alias("mixed"))
+    # stored, so that the join below is one of two plain exchanges, which Spark can split
+    # where copies of one passage fill a shard
+    shards = materialise(shards)
     known = materialise(cut.join(shards, "shard"))
     mixed = known.where("mixed")
     kinds = mixed.groupBy("shard", "content").agg(
