@@ -63,7 +63,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         .withColumn(
             out,
             F.expr(
-                "CASE WHEN size(__first) = 0 THEN '' ELSE array_join(transform("
+                # the map is named twice so that it is a column of its own, made once a row
+                "CASE WHEN size(__bins) = 0 THEN '' ELSE array_join(transform("
                 f" sequence(0L, {BINS - 1}L), j -> lpad(hex(coalesce(__bins[j],"
                 f"  array_min(transform(__first, x -> (xxhash64(j, {_bin('x')}) & {~low}L) | (x & {low}L))) & {low}L"
                 f" )), {BITS // 4}, '0')), '') END"
