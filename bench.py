@@ -25,7 +25,8 @@ HEADLINE = [
     "t1_mann_whitney_balance_churn", "t5_chi_square_prior_contact",
     "t_7_bootstrap_median_difference", "k6_davies_bouldin", "k8_segment_profile",
     "e7_model_evaluation", "e8_threshold_sweep", "e15_capacity",
-    "f7_stratified_split_campaign", "f8_stratified_folds", "f13_random_forest", "w1_ntile",
+    "f7_stratified_split_campaign", "f8_stratified_folds", "f11_logistic_regression",
+    "f13_random_forest", "w1_ntile",
 ]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from saldora.catalog.registry import Book
 from saldora.catalog.roles import (
-    REF_DATE, cleaned_b, cleaned_b_secondary, track_a, track_a_raw, track_b, track_b_keyed,
+    REF_DATE, cleaned_b, cleaned_b_secondary, table, track_a, track_a_raw, track_b, track_b_keyed,
     track_b_raw, track_b_secondary, track_b_secondary_raw,
 )
 from saldora.catalog.roles_sql import A, A_RAW, B, B2, B2_CLEAN, B2_RAW, B_CLEAN, B_RAW, r, with_roles
@@ -331,6 +331,20 @@ add("c15_row_accounting",
     lambda s, d: cl.row_accounting(track_b_raw(s, d), cleaned_b(s, d).data),
     with_roles(B_CLEAN, """SELECT (SELECT count(*) FROM b_raw) AS rows_in, (SELECT count(*) FROM b_clean) AS rows_out,
       (SELECT count(*) FROM b_raw) - (SELECT count(*) FROM b_clean) AS rows_removed"""))
+
+
+def outside_roles(s, d):
+    """What the roles' definition leaves out: customers without orders, orders without a customer."""
+    customers, orders = table(s, d, "customer"), table(s, d, "orders")
+    lone = customers.join(orders, F.expr("c_custkey = o_custkey"), "left_anti")
+    orphans = orders.join(customers, F.expr("c_custkey = o_custkey"), "left_anti")
+    return lone.agg(F.count(F.lit(1)).alias("customers_without_orders")).withColumn(
+        "orders_without_customer", orphans.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+add("c15_rows_outside_roles", outside_roles, """SELECT
+  (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) AS customers_without_orders,
+  (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS orders_without_customer""")
 add("c16_clean_churn",
     lambda s, d: _round4(track_a(s, d), CHURN_FILE_MONEY),
     with_roles(A, f"SELECT {_sql_cols([*CHURN_FILE_PLAIN, 'last_transaction', 'age_under_18_flag'], CHURN_FILE_MONEY)} FROM a"))
