@@ -153,7 +153,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(ROWS):
             bands = mix(bands + mix(winner[:, k : BANDS * ROWS : ROWS]))
         bands = mix(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-        low = winner.astype(np.uint16)
+        low = winner.astype(np.uint8)
         keep = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays(
             [
@@ -172,17 +172,25 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.searchsorted(owner, np.arange(rows.num_rows + 1))
         count = np.minimum(count, np.iinfo(np.uint32).max).astype(np.uint32)
         codes = [code[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-        counts = [count[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+        # counts that are all 1 are left out
+        counts = [count[a:b].tobytes() if (count[a:b] > 1).any() else b"" for a, b in zip(cut[:-1], cut[1:])]
         yield pa.RecordBatch.from_arrays(
             [rows.column(0), pa.array(codes, pa.binary()), pa.array(counts, pa.binary())],
             names=["node", "codes", "counts"],
         )
 
 
+def _unpacked(codes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and weights of a packed set."""
+    code = np.frombuffer(codes, dtype=np.uint64)
+    if not counts:
+        return code, np.ones(len(code))
+    return code, weights(np.frombuffer(counts, dtype=np.uint32))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def read(batch: pa.RecordBatch, i: int, side: str):
-        codes = np.frombuffer(batch[f"codes_{side}"][i].as_py(), dtype=np.uint64)
-        return codes, weights(np.frombuffer(batch[f"counts_{side}"][i].as_py(), dtype=np.uint32))
+        return _unpacked(batch[f"codes_{side}"][i].as_py(), batch[f"counts_{side}"][i].as_py())
 
     for batch in batches:
         near = [
@@ -230,7 +238,7 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         rows = value.values
         nodes = rows.field("node").to_numpy(zero_copy_only=False)
         comps = rows.field("comp").to_numpy(zero_copy_only=False)
-        signs = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint16)
+        signs = np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype=np.uint8)
         return nodes, comps, signs.reshape(len(nodes), REGISTERS)
 
     for batch in batches:
@@ -267,13 +275,7 @@ def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         left, right = [], []
         for i in range(batch.num_rows):
-            sets = {
-                x["node"]: (
-                    np.frombuffer(x["codes"], dtype=np.uint64),
-                    weights(np.frombuffer(x["counts"], dtype=np.uint32)),
-                )
-                for x in batch["sets"][i].as_py()
-            }
+            sets = {x["node"]: _unpacked(x["codes"], x["counts"]) for x in batch["sets"][i].as_py()}
             root: dict[int, int] = {}
 
             def find(c: int) -> int:
@@ -356,11 +358,14 @@ def near_duplicate_links(docs: DataFrame) -> DataFrame:
     signed = materialise(
         texts.mapInArrow(_sign, "node long, bands array<long>, signature binary, shingles int")
     )
-    placed = signed.select("node", F.posexplode("bands").alias("band", "bucket")).distinct()
-    leaders = placed.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    placed = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
+    leaders = materialise(
+        placed.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+        .where("leader != last").select("bucket", "leader")
+    )
+    # copies of a text are several rows up to here
     members = materialise(
-        placed.join(leaders.where("leader != last").select("bucket", "leader"), "bucket")
-        .select("bucket", "band", "leader", "node")
+        placed.join(leaders, "bucket").select("bucket", "band", "leader", "node").distinct()
     )
     wanted = members.select("node").distinct()
     sets = materialise(
