@@ -4,7 +4,10 @@ Base patterns find assignments, access keys and long hex strings. Candidates in
 base64url or hex are then decoded and reported as further spans only if their structure
 holds: signed tokens need three segments, a JSON header that names an algorithm and a JSON
 payload; key encodings need a DER sequence whose nested lengths fill the input exactly, or
-the length-prefixed fields of the SSH wire format.
+the length-prefixed fields of the SSH wire format. A key in base64 takes whole lines, the
+last of any length, the others of 24 characters or more, with any white space between them.
+Its own lengths say where it ends, so each line of a run is tried as a key's first and the
+keys of adjacent lines are told apart.
 
 Cases: a null or empty text has no spans. A match that fails its length test is dropped
 after it has used up its characters. Repeated rows give repeated results. Offsets are code
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -37,10 +41,13 @@ KINDS = ("assign", "access", "hex", "token", "key")
 BASE = KINDS[:3]
 
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_ENCODED = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\s[A-Za-z0-9+/_-]{24,})*={0,2}")
+# lines of at least 24 characters and a last one of any length
+_ENCODED = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\s+[A-Za-z0-9+/_-]{24,})*(?:\s+[A-Za-z0-9+/_-]{1,23})?={0,2}(?:\s+={1,2})?")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _HEXES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
 _SSH_NAMES = (b"ssh-", b"ecdsa-", b"sk-")
 _SSH_MAGIC = b"openssh-key-v1\x00"
+_SSH_TAG = 16  # bytes an authenticated cipher adds after the private part
 
 SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, n_token long, n_key long, "
@@ -142,6 +149,79 @@ def _is_key(data: bytes | None) -> bool:
     return data is not None and len(data) >= 24 and (is_der_key(data) or is_ssh_key(data))
 
 
+class _Run:
+    """Lines of base64 characters, read as bytes from the start of any line."""
+
+    def __init__(self, text: str):
+        self.lines = [m.span() for m in _LINE.finditer(text)]
+        self.body = "".join(text[a:b] for a, b in self.lines).replace("-", "+").replace("_", "/")
+        self.cuts = [0, *itertools.accumulate(b - a for a, b in self.lines)]
+        self.line_at = {c: k for k, c in enumerate(self.cuts)}
+
+    def read(self, line: int, at: int, to: int) -> bytes:
+        """Bytes ``at`` to ``to`` of what starts with ``line``; fewer where the run ends."""
+        start = self.cuts[line]
+        piece = self.body[start + at // 3 * 4 : start + -(-to // 3) * 4]
+        piece = piece[: len(piece) - (len(piece) % 4 == 1)]
+        data = base64.b64decode(piece + "=" * (-len(piece) % 4))
+        return data[at % 3 : at % 3 + to - at]
+
+    def after(self, line: int, size: int) -> int | None:
+        """The line after ``size`` bytes from ``line``; None if they do not end with a line."""
+        return self.line_at.get(self.cuts[line] - (-size * 4 // 3))
+
+    def number(self, line: int, at: int) -> int | None:
+        data = self.read(line, at, at + 4)
+        return int.from_bytes(data, "big") if len(data) == 4 else None
+
+    def sizes(self, line: int) -> Iterator[int]:
+        """Lengths that a key starting with ``line`` can have, likeliest first."""
+        head = self.read(line, 0, len(_SSH_MAGIC))
+        rest = (self.cuts[-1] - self.cuts[line]) * 3 // 4
+        if head[:1] == b"\x30" and len(head) > 6:
+            n = head[1] & 0x7F if head[1] & 0x80 else 0
+            yield 2 + n + (int.from_bytes(head[2 : 2 + n], "big") if n else head[1])
+        elif head == _SSH_MAGIC:
+            at = len(head)
+            for _ in range(3):  # cipher, derivation and its options
+                at += 4 + (self.number(line, at) or 0)
+            fields = self.number(line, at)
+            at += 4
+            while fields is not None and fields >= 0 and at <= rest:  # public keys, private part
+                at += 4 + (self.number(line, at) or 0)
+                fields -= 1
+            yield at
+            yield at + _SSH_TAG
+            marker = self.body[self.cuts[-2] :].startswith("+++++")  # -----END
+            yield (self.cuts[-1 - marker] - self.cuts[line]) * 3 // 4
+        elif head[4:].startswith(_SSH_NAMES):
+            at, ends = 0, []
+            while (size := self.number(line, at)) is not None and at + 4 + size <= rest:
+                at += 4 + size
+                after = self.after(line, at)
+                if after is not None:
+                    ends.append(at)
+                    if self.read(after, 4, 10).startswith(_SSH_NAMES):  # the next key
+                        break
+            yield from reversed(ends)
+
+
+def encoded_keys(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the keys in lines of base64, with the padding of the last line."""
+    run, found, line = _Run(text), [], 0
+    while line < len(run.lines):
+        for size in run.sizes(line):
+            after = run.after(line, size)
+            if after is not None and after > line and _is_key(run.read(line, 0, size)):
+                end = run.lines[after - 1][1]
+                end += re.match(r"={0,2}(?:\s+={1,2})?" if size % 3 else "={0,2}", text[end:]).end()
+                found.append((run.lines[line][0], end))
+                line = after - 1
+                break
+        line += 1
+    return found
+
+
 def base_spans(text: str) -> list[Span]:
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
@@ -159,13 +239,7 @@ def confirmed_spans(text: str) -> list[Span]:
             if is_signed_token(m[0]):
                 found.append((m.start(), m.end(), "token"))
     for m in _ENCODED.finditer(text):
-        parts = [(m.start(), m.end())]
-        if any(c.isspace() for c in m[0]):  # wrapped lines: the whole, else each line
-            parts += [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(r"\S+", m[0])]
-        for start, end in parts:
-            if _is_key(decoded(text[start:end])):
-                found.append((start, end, "key"))
-                break
+        found += [(m.start() + a, m.start() + b, "key") for a, b in encoded_keys(m[0])]
     for m in _HEXES.finditer(text):
         if _is_key(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), "key"))

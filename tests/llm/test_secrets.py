@@ -95,3 +95,54 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert out[1]["text"] is None and out[2]["text"] == "" and len(out[3]["text"]) == 200_000
     assert list(out[0]) == docs.columns
     assert rows(secrets.scan_secrets(documents(spark, []))) == []
+
+
+def _pem(data: bytes, width: int = 64, join: str = "\n") -> str:
+    body = base64.b64encode(data).decode()
+    return join.join(body[i : i + width] for i in range(0, len(body), width))
+
+
+def _public(bits_bytes: int) -> bytes:
+    inner = _der(0x30, _der(2, b"\0" + b"\x99" * bits_bytes) + _der(2, b"\x01\0\x01"))
+    algorithm = _der(0x30, _der(6, bytes.fromhex("2a864886f70d010101")) + _der(5, b""))
+    return _der(0x30, algorithm + _der(3, b"\0" + inner))
+
+
+def _of_size(size: int) -> bytes:
+    """A private-key sequence of exactly ``size`` bytes."""
+    return _der(0x30, _der(2, b"\0") + _der(4, b"\x05" * (size - 11)))
+
+
+def _keys(text: str) -> list[str]:
+    return [text[a:b] for a, b, kind in secrets.confirmed_spans(text) if kind == "key"]
+
+
+def test_wrapped_keys_with_a_last_line_of_any_length():
+    assert len(_public(256)) == 294
+    for key in (_public(256), *(_of_size(n) for n in (64, 1216, 1217, *range(1190, 1240)))):
+        for join in ("\n", "\r\n", "\n    ", "  \r\n\t", " "):
+            for width in (64, 76, 61):
+                body = _pem(key, width, join)
+                for text in (
+                    f"-----BEGIN KEY-----\n{body}\n-----END KEY-----\n", f"see {body}", f"{body} and more words",
+                    f"{'w' * 30}\n{body}\n{'v' * 40} x",
+                ):
+                    assert _keys(text) == [body], (len(key), join, width)
+
+
+def test_keys_on_adjacent_lines_are_told_apart():
+    one = [base64.b64encode(k).decode().rstrip("=") for k in (_of_size(66), _of_size(81), SSH, SSH)]
+    assert _keys("\n".join(one)) == one
+    assert _keys("\r\n".join([one[2], one[0], "w" * 31, one[3], one[1]])) == [one[2], one[0], one[3], one[1]]
+    two = [_pem(_public(256)), _pem(_of_size(1200))]
+    assert _keys("\n".join(two)) == two
+
+
+def test_private_ssh_key_with_its_last_line():
+    def field(x: bytes) -> bytes:
+        return len(x).to_bytes(4, "big") + x
+
+    for size, tag in ((136, b""), (141, b""), (144, b"t" * 16)):
+        key = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(SSH)
+        body = _pem(key + field(b"p" * size) + tag, 70)
+        assert _keys(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{body}\n-----END OPENSSH PRIVATE KEY-----") == [body]
