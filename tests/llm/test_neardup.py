@@ -128,3 +128,25 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: root(x) for x in linked}
     assert rows(connected(frame.limit(0))) == []
+
+
+def test_pairs_that_agree_in_low_bytes_of_an_earlier_band(spark):
+    codes = np.arange(1, 41, dtype=np.uint64).tobytes()
+    nodes = [1, 2, 3, 4]  # 1 leads; 1 and 2 are the largest class; 3 and 4 are equal strays
+
+    def links(first):
+        bands = [[own, 99, *range(1000 * n, 1000 * n + neardup.BANDS - 2)] for n, own in zip(nodes, first)]
+        signed = spark.createDataFrame(
+            [(n, b, bytes(neardup.REGISTERS), 40) for n, b in zip(nodes, bands)],
+            "node long, bands array<long>, signature binary, shingles int",
+        )
+        members = spark.createDataFrame([(99, 1, 1, n) for n in nodes], "bucket long, band int, leader long, node long")
+        sets = spark.createDataFrame(
+            [(n, codes if n > 2 else bytes(8 * [n]), b"") for n in nodes], "node long, codes binary, counts binary"
+        )
+        comps = spark.createDataFrame([(1, 1), (2, 1)], "node long, comp long")
+        found = neardup.stray_links(members, comps, signed, sets)
+        return {tuple(sorted(r.values())) for r in rows(found)}
+
+    assert links([10, 20, 30, 40]) == {(3, 4)}  # no true common band before this one
+    assert links([10, 20, 30, 30]) == set()  # looked at in their first bucket
