@@ -40,11 +40,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the words that the mix takes of it, and the shards they go to."""
-    drawn = mixing.draw_mix(docs)
-    return drawn.selectExpr(
+    """Every document with what the mix takes of it: the texts of its pieces, each with its
+    shard, its place there and a digest."""
+    drawn = mixing.draw_mix(docs, carried=["text"])
+    return drawn.select(
         "doc_id", "source", "size", "source_size", "target", "taken",
-        "array_sort(array_distinct(transform(pieces, p -> p.shard))) AS shards",
+        mixing.mixed_pieces().alias("mixed"),
     )
 
 

@@ -7,11 +7,13 @@ quotas: each node draws, without replacement, how many blocks of every source go
 each shard gets exactly its capacity and every source exactly its quota.
 
 Within a source, documents are put in the order of a key hash; their words form one line,
-which is gone through again if the quota exceeds it. Consecutive blocks of that line belong
-to the shards as the tree has dealt them, so blocks are disjoint. Positions on the line are
+which is gone through again if the quota exceeds it. The line is cut into blocks, whose
+numbers are permuted (swap-or-not rounds, a bijection computed from the number alone); the
+shards take as many of the permuted blocks as the tree has dealt them, so blocks are
+disjoint. Positions on the line are
 sums inside hash ranges plus the sums of earlier ranges: a source with a third of all rows
 is spread over as many tasks as any other rows. Inside a shard pieces are ordered by another
-key hash.
+key hash, their ``place``; a shard's rows lie in several tasks, by ranges of places.
 
 Cases: a null text has size 0; sources are ordered by code point, a null source last and a
 source of its own. Sources without words take nothing. Repeated rows are separate documents
@@ -22,6 +24,7 @@ Only DataFrame operations touch rows.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 import random
@@ -38,6 +41,8 @@ SHARE = 1.5
 PASSES = 2
 SHARDS = 64
 BLOCK_WORDS = 1_024
+ROUNDS = 32
+SLICES = 4  # bits of the place that deal a shard's rows to tasks
 MAX_SOURCES = 50_000
 SEED = 17
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -121,11 +126,22 @@ def split_quotas(quotas: Sequence[int], shards: int, seed: int = SEED) -> list[l
     return out
 
 
+def permuted(block: str, blocks: str, seed: int = SEED) -> str:
+    """SQL for the place of number ``block`` in a random order of 0 to ``blocks`` - 1."""
+    draw = random.Random(f"{seed}:blocks")
+    keys = ", ".join(f"{draw.getrandbits(62)}L" for _ in range(ROUNDS))
+    other = f"pmod(k - x, {blocks})"
+    return (
+        f"aggregate(array({keys}), {block}, (x, k) -> "
+        f"if(xxhash64(k, greatest(x, {other})) & 1L = 1L, {other}, x))"
+    )
+
+
 def _plan_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """A few driver-made rows as a relation, by way of a JSON literal."""
     kind = (
         "array<struct<source:string,source_size:bigint,target:double,quota:bigint,"
-        "cuts:array<struct<shard:int,lo:bigint,hi:bigint>>>>"
+        "blocks:bigint,ends:array<bigint>>>"
     )
     frame = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
     return frame
@@ -135,7 +151,8 @@ def source_plan(
     sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     passes: int = PASSES, shards: int = SHARDS, seed: int = SEED,
 ) -> DataFrame:
-    """One row per source: source_size, target, quota (words) and its cuts of the line."""
+    """One row per source: source_size, target, quota (words), its blocks and, for each shard,
+    the end of its share of the permuted blocks."""
     spark = sizes.sparkSession
     found = (
         sizes.groupBy("source").agg(F.sum("size").alias("size"))
@@ -151,13 +168,8 @@ def source_plan(
     dealt = split_quotas(blocks, shards, seed)
     rows = []
     for i, r in enumerate(found):
-        at, cuts = 0, []
-        for k in range(shards):
-            to = min(quota[i], at + dealt[k][i] * BLOCK_WORDS)
-            if to > at:
-                cuts.append({"shard": k, "lo": at, "hi": to})
-            at = to
-        rows.append({"source": r["source"], "source_size": own[i], "target": target[i], "quota": quota[i], "cuts": cuts})
+        ends = list(itertools.accumulate(dealt[k][i] for k in range(shards)))
+        rows.append({"source": r["source"], "source_size": own[i], "target": target[i], "quota": quota[i], "blocks": blocks[i], "ends": ends})
     return _plan_frame(spark, rows)
 
 
@@ -201,12 +213,17 @@ def draw_mix(
     )
     plan = plan.withColumnRenamed("source", "__named")
     taken = lined.join(plan, F.col("source").eqNullSafe(F.col("__named")))
+    start = "(at + p * source_size)"
+    last = f"least(quota, {start} + size)"
+    spans = (
+        f"transform(if(size > 0 AND {start} < quota, sequence({start} div {BLOCK_WORDS}, ({last} - 1) div {BLOCK_WORDS}),"
+        f" array()), b -> named_struct('b', b, 'x', {permuted('b', 'blocks', seed)}))"
+    )
     pieces = F.expr(
-        f"flatten(transform(sequence(0, {passes - 1}), p -> transform("
-        " filter(cuts, c -> size > 0 AND c.lo < at + p * source_size + size AND c.hi > at + p * source_size),"
-        " c -> named_struct('shard', c.shard, 'pass', p,"
-        "  'first', greatest(0L, c.lo - at - p * source_size),"
-        "  'words', least(c.hi, at + p * source_size + size) - greatest(c.lo, at + p * source_size)))))"
+        f"flatten(transform(sequence(0, {passes - 1}), p -> transform({spans}, s -> named_struct("
+        " 'shard', size(filter(ends, e -> e <= s.x)), 'pass', p,"
+        f" 'first', greatest(0L, s.b * {BLOCK_WORDS} - {start}),"
+        f" 'words', least({last}, (s.b + 1) * {BLOCK_WORDS}) - greatest({start}, s.b * {BLOCK_WORDS})))))"
     )
     return (
         taken.withColumn("pieces", pieces)
@@ -218,18 +235,30 @@ def draw_mix(
     )
 
 
+def mixed_pieces(text: str = "text", seed: int = SEED) -> Column:
+    """The drawn pieces of a document with their words: shard, place in it, text, sha256."""
+    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+    def piece(w: Column, p: Column) -> Column:
+        own = F.array_join(F.slice(w, p["first"].cast("int") + 1, p["words"].cast("int")), " ")
+        return F.struct(
+            p["shard"].alias("shard"),
+            F.xxhash64(F.lit(seed + 1), F.col("doc_id"), p["pass"], p["first"]).alias("place"),
+            own.alias("text"), F.sha2(own, 256).alias("sha256"),
+        )
+
+    # the words are bound to a variable, so that a text is split once, not once a piece
+    return F.transform(F.array(words), lambda w: F.transform("pieces", lambda p: piece(w, p)))[0]
+
+
 def shuffled_shards(drawn: DataFrame, text: str = "text", seed: int = SEED) -> DataFrame:
     """The mix itself: one row per piece, dealt to its shard and in random order inside it.
 
-    Columns: shard, doc_id, source, text (the piece's words). ``drawn`` carries the text.
+    Columns: shard, place (the order), doc_id, source, text (the piece's words), sha256.
+    ``drawn`` carries the text.
     """
-    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
-    rows = drawn.withColumn("__words", words).withColumn("piece", F.explode("pieces"))
+    rows = drawn.select("doc_id", "source", F.explode(mixed_pieces(text, seed)).alias("piece"))
     return (
-        rows.select(
-            F.col("piece.shard").alias("shard"), "doc_id", "source",
-            F.expr("array_join(slice(__words, int(piece.first) + 1, int(piece.words)), ' ')").alias("text"),
-            F.xxhash64(F.lit(seed + 1), "doc_id", "piece.pass", "piece.first").alias("__order"),
-        )
-        .repartition("shard").sortWithinPartitions("shard", "__order").drop("__order")
+        rows.select("piece.shard", "piece.place", "doc_id", "source", "piece.text", "piece.sha256")
+        .repartition("shard", F.shiftright("place", 64 - SLICES)).sortWithinPartitions("shard", "place")
     )

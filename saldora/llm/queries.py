@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over their whole tables."""
+"""The ten operators as registered queries over their whole tables; the mix has two."""
 
 from __future__ import annotations
 
@@ -37,6 +37,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shuffled_shards(mixing.draw_mix(table(spark, sf_dir, "documents"), carried=["text"]))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_class", (F.col("doc_id") == F.col("class_id")).alias("stays")
@@ -90,7 +94,7 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        op1_secret_scan, op2_quality_neighbours, op3_source_mix, op4_near_duplicates,
+        op1_secret_scan, op2_quality_neighbours, op3_source_mix, op3_mixed_shards, op4_near_duplicates,
         op5_fingerprints, op6_warc_revisits, op7_repeated_passages, op8_toxicity, op9_language,
         op10_benchmark_hits,
     )

@@ -3,9 +3,12 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from hashlib import sha256
 
+import corpus_pipeline
 from saldora.llm import mixing
-from saldora.llm.queries import op3_source_mix
+from saldora.llm.queries import op3_mixed_shards, op3_source_mix
+from saldora.llm.rows import table
 
 from tests_llm_helpers import by_id, documents, rows
 
@@ -89,3 +92,38 @@ def test_empty_table_and_plan(spark, sf_dir):
     assert rows(mixing.draw_mix(documents(spark, [(1, None)])))[0]["taken"] == 0
     plan = op3_source_mix(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_blocks_are_permuted(spark):
+    for n in (1, 2, 7, 1000):
+        found = [r["x"] for r in rows(spark.range(n).coalesce(1).selectExpr(f"{mixing.permuted('id', f'{n}L')} AS x"))]
+        assert sorted(found) == list(range(n))
+    steps = Counter(b - a for a, b in zip(found, found[1:]))
+    assert max(steps.values()) < 10  # neither ranges nor a fixed stride
+    line = " ".join(f"w{k}" for k in range(64 * mixing.BLOCK_WORDS))
+    drawn = rows(mixing.draw_mix(documents(spark, [(1, line, None, "a")]), shards=4, share=1.0))
+    order = [p["shard"] for p in sorted(drawn[0]["pieces"], key=lambda p: (p["pass"], p["first"]))]
+    assert Counter(order) == {k: 16 for k in range(4)} and order != sorted(order)
+
+
+def test_stage_and_shards_hold_the_mixed_texts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    shards = rows(op3_mixed_shards(spark, sf_dir))
+    taken = {d: r["taken"] for d, r in by_id(op3_source_mix(spark, sf_dir)).items()}
+    words = Counter()
+    for r in shards:
+        words[r["doc_id"]] += len(WORD.findall(r["text"]))
+        assert r["sha256"] == sha256(r["text"].encode()).hexdigest()
+    assert {d: words[d] for d in taken} == taken
+    staged = rows(corpus_pipeline.mix_sources(spark, docs, sf_dir))
+    pieces = [(p["shard"], p["place"], r["doc_id"], r["source"], p["text"]) for r in staged for p in r["mixed"]]
+    assert Counter(pieces) == Counter((r["shard"], r["place"], r["doc_id"], r["source"], r["text"]) for r in shards)
+    assert len({r["shard"] for r in shards}) == mixing.SHARDS
+
+
+def test_order_inside_a_shard(spark):
+    docs = [(i, " ".join(f"d{i}w{k}" for k in range(50)), None, "a") for i in range(200)]
+    found = [r.asDict() for r in mixing.shuffled_shards(mixing.draw_mix(documents(spark, docs), carried=["text"], shards=2)).coalesce(1).collect()]
+    for shard in (0, 1):
+        ids = [r["doc_id"] for r in sorted((r for r in found if r["shard"] == shard), key=lambda r: r["place"])]
+        assert len(ids) > 50 and ids != sorted(ids)
