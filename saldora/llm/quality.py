@@ -2,8 +2,10 @@
 
 A document's terms are the four-byte patterns of its writing (letters, capitals, digits,
 spaces and each sign told apart), hashed to ``Bounds.terms`` numbers, and how often a word
-follows itself or comes again. Term weights are ``log(1 + count)`` times the inverse
-document frequency; a truncated singular value decomposition of the labelled documents'
+follows itself or comes again, and its vocabulary: words in small letters without signs, and
+runs of six bytes beyond ASCII, from the start of a character, for writing without spaces;
+both are hashed to ``Bounds.words`` numbers of their own. Term weights are
+``log(1 + count)`` times the inverse document frequency, counted over all documents; a truncated singular value decomposition of the labelled documents'
 weights gives the latent directions. The labelled vectors are broadcast: at most
 ``Bounds.labelled`` rows of ``Bounds.rank`` numbers, whatever the size of the corpus. Every
 document's cosines with all of them are computed exactly, a block of documents at a time;
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldora.llm.rows import first_by_hash
-from saldora.llm.textbytes import mix, slices, word_hashes, words
+from saldora.llm.textbytes import byte_table, mix, slices, word_hashes, words
 
 THRESHOLD = 0.3
 SCHEMA = "doc_id long, score double"
@@ -39,6 +41,7 @@ SCHEMA = "doc_id long, score double"
 class Bounds:
     labelled: int = 6_000
     terms: int = 1 << 11
+    words: int = 1 << 12
     rank: int = 48
     neighbours: int = 15
     power: float = 4.0
@@ -46,7 +49,10 @@ class Bounds:
 
 @dataclass
 class Space:
-    """idf (terms), directions (terms x rank), labelled unit vectors (rows x rank), labels."""
+    """idf (terms), directions (terms x rank), labelled unit vectors (rows x rank), labels.
+
+    The last ``words`` terms are those of the vocabulary.
+    """
 
     idf: np.ndarray
     directions: np.ndarray
@@ -54,6 +60,7 @@ class Space:
     labels: np.ndarray
     neighbours: int
     power: float
+    words: int
 
 
 def _classes() -> np.ndarray:
@@ -66,12 +73,46 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
+_SMALL = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+_LETTERS = byte_table(bytes(b for b in range(128) if not chr(b).isalnum()))
+_RUN = 6
+_DOCS = 256  # documents whose counts are held at once
 _REPEATS = 16  # the last terms are kept for repeated words
 _GAIN = 6.0
 
 
-def term_counts(data: np.ndarray, offsets: np.ndarray, terms: int) -> np.ndarray:
-    """(documents, terms) of log(1 + count)."""
+def vocabulary_counts(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
+    """(documents, size) of log(1 + count) of the hashed words and runs beyond ASCII."""
+    n = len(offsets) - 1
+    starts, ends, cut = words(data, offsets, _LETTERS)
+    code = word_hashes(_SMALL[data], starts, ends)
+    owner = np.repeat(np.arange(n), np.diff(cut))
+    if len(data) >= _RUN and (data >= 128).any():
+        before = np.concatenate([[0], np.cumsum(data >= 128)])
+        at = np.flatnonzero((data[: 1 - _RUN] >= 192) & (before[_RUN:] - before[:-_RUN] == _RUN))
+        whose = np.searchsorted(offsets, at, side="right") - 1
+        own = at + _RUN <= offsets[whose + 1]
+        code = np.concatenate([code, mix(word_hashes(data, at[own], at[own] + _RUN))])
+        owner = np.concatenate([owner, whose[own]])
+    flat = owner * size + (code % np.uint64(size)).astype(np.int64)
+    return np.log1p(np.bincount(flat, minlength=n * size).reshape(n, size).astype(np.float32))
+
+
+def term_counts(data: np.ndarray, offsets: np.ndarray, terms: int, n_words: int) -> np.ndarray:
+    """(documents, terms + n_words) of log(1 + count)."""
+    return np.hstack([shape_counts(data, offsets, terms), vocabulary_counts(data, offsets, n_words)])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], terms: int, n_words: int):
+    """(rows, counts) of at most ``_DOCS`` documents at a time."""
+    for rows, data, offsets in slices(batches):
+        for at in range(0, rows.num_rows, _DOCS):
+            own = offsets[at : at + _DOCS + 1]
+            yield rows.slice(at, len(own) - 1), term_counts(data[own[0] : own[-1]], own - own[0], terms, n_words)
+
+
+def shape_counts(data: np.ndarray, offsets: np.ndarray, terms: int) -> np.ndarray:
+    """(documents, terms) of log(1 + count) of the patterns of the writing."""
     n = len(offsets) - 1
     kind = _CLASS[data]
     out = np.zeros((n, terms), dtype=np.float32)
@@ -101,10 +142,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def latent_space(counts: np.ndarray, labels: np.ndarray, bounds: Bounds) -> Space:
-    """Directions by a randomised truncated decomposition of the weighted, unit-length rows."""
+def latent_space(
+    counts: np.ndarray, labels: np.ndarray, bounds: Bounds, found: tuple[int, np.ndarray] | None = None
+) -> Space:
+    """Directions by a randomised truncated decomposition of the weighted, unit-length rows.
+
+    ``found``: the number of documents and how many have each term; if None, of ``counts``.
+    """
     n, terms = counts.shape
-    idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
+    documents, having = found or (n, (counts > 0).sum(axis=0))
+    idf = np.log((1 + documents) / (1 + having)).astype(np.float32) + np.float32(0.1)
     x = _unit(counts * idf)
     rank = max(1, min(bounds.rank, n, terms))
     draw = np.random.default_rng(3)
@@ -113,7 +160,7 @@ def latent_space(counts: np.ndarray, labels: np.ndarray, bounds: Bounds) -> Spac
         basis, _ = np.linalg.qr(x.T @ (x @ basis))
     _, _, inner = np.linalg.svd(x @ basis, full_matrices=False)
     directions = (basis @ inner[:rank].T).astype(np.float32)
-    return Space(idf, directions, _unit(x @ directions).astype(np.float32), labels, bounds.neighbours, bounds.power)
+    return Space(idf, directions, _unit(x @ directions).astype(np.float32), labels, bounds.neighbours, bounds.power, bounds.words)
 
 
 def project(space: Space, counts: np.ndarray) -> np.ndarray:
@@ -132,6 +179,27 @@ def votes(space: Space, vectors: np.ndarray, empty: np.ndarray) -> np.ndarray:
     return np.where(empty, space.labels.mean(), score).clip(0, 1)
 
 
+def document_frequencies(docs: DataFrame, bounds: Bounds) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those that have each term, over all ``docs``."""
+    size = bounds.terms + bounds.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        having = np.zeros(size + 1, dtype=np.int64)  # the last place counts documents
+        for rows, counts in _counted(batches, bounds.terms, bounds.words):
+            having[:size] += (counts > 0).sum(axis=0)
+            having[size] += rows.num_rows
+        at = np.flatnonzero(having)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(having[at])], names=["term", "n"])
+
+    found = (
+        docs.select("text").mapInArrow(run, "term long, n long")
+        .groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    )
+    having = np.zeros(size + 1, dtype=np.int64)
+    having[found["term"].to_numpy()] = found["n"].to_numpy()
+    return int(having[size]), having[:size]
+
+
 def train(
     docs: DataFrame, labels: DataFrame, learnable: Column, bounds: Bounds = Bounds()
 ) -> Space:
@@ -144,8 +212,7 @@ def train(
     wanted = first_by_hash(known, bounds.labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in slices(batches):
-            counts = term_counts(data, offsets, bounds.terms)
+        for rows, counts in _counted(batches, bounds.terms, bounds.words):
             packed = [x.astype(np.float16).tobytes() for x in counts]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(packed, pa.binary())],
@@ -161,10 +228,12 @@ def train(
     )
     if not sample.num_rows:
         none = np.zeros((0, 1), dtype=np.float32)
-        flat = np.zeros((bounds.terms, 1), dtype=np.float32)
-        return Space(np.ones(bounds.terms, np.float32), flat, none, np.zeros(0), bounds.neighbours, bounds.power)
+        size = bounds.terms + bounds.words
+        flat, idf = np.zeros((size, 1), dtype=np.float32), np.ones(size, np.float32)
+        return Space(idf, flat, none, np.zeros(0), bounds.neighbours, bounds.power, bounds.words)
     counts = np.stack([np.frombuffer(x.as_py(), dtype=np.float16) for x in sample["terms"]]).astype(np.float32)
-    return latent_space(counts, sample["quality"].to_numpy().astype(np.float64), bounds)
+    known = sample["quality"].to_numpy().astype(np.float64)
+    return latent_space(counts, known, bounds, document_frequencies(docs, bounds))
 
 
 def score(docs: DataFrame, space: Space) -> DataFrame:
@@ -173,14 +242,8 @@ def score(docs: DataFrame, space: Space) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Space(**shared.value)
-        for rows, data, offsets in slices(batches):
-            out = np.empty(rows.num_rows)
-            for at in range(0, rows.num_rows, 256):
-                to = min(rows.num_rows, at + 256)
-                own = offsets[at : to + 1]
-                counts = term_counts(data[own[0] : own[-1]], own - own[0], len(model.idf))
-                empty = ~counts.any(axis=1)
-                out[at:to] = votes(model, project(model, counts), empty)
+        for rows, counts in _counted(batches, len(model.idf) - model.words, model.words):
+            out = votes(model, project(model, counts), ~counts.any(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"]
             )

@@ -152,3 +152,32 @@ def test_neighbours_are_exact():
         near = np.argsort(-cosine)[:5]
         weight = np.maximum(cosine[near], 0) ** space.power + 1e-9
         assert score == pytest.approx((weight * labels[near]).sum() / weight.sum(), rel=1e-4)
+
+
+def _quality_terms(*texts):
+    data = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    return quality.term_counts(np.frombuffer(b"".join(data), np.uint8), offsets, 2048, 4096)
+
+
+def test_vocabulary_tells_texts_of_one_shape_apart():
+    for a, b in (("the cat sat, on mats", "dog has ran, to hugs"), ("春眠不觉晓处处闻啼鸟", "床前明月光疑是地上霜")):
+        x, y, again = _quality_terms(a * 3, b * 3, a * 3)
+        assert (x[:2048] == y[:2048]).all() and (x != y).any() and (x == again).all()
+        assert ((x[2048:] > 0) & (y[2048:] > 0)).sum() <= 1
+
+
+def test_quality_that_shows_in_vocabulary_only(spark):
+    draw = np.random.default_rng(2)
+    good, bad = (["".join(map(chr, draw.integers(97, 123, 5))) for _ in range(30)] for _ in range(2))
+    texts = [" ".join(draw.choice((bad, good)[i % 2], 60)) for i in range(200)]
+    docs = documents(spark, list(enumerate(texts)))
+    labels = _labels(spark, [(i, i % 2, 0) for i in range(100)])
+    found = by_id(quality.score(docs, quality.train(docs, labels, F.lit(True))))
+    assert all((found[i]["score"] > 0.5) == bool(i % 2) for i in range(100, 200))
+
+
+def test_frequencies_are_of_all_documents(spark):
+    texts = ["aa bb", "aa cc", None, "", "bb"]
+    n, having = quality.document_frequencies(documents(spark, list(enumerate(texts))), quality.Bounds())
+    assert n == 5 and (having == (_quality_terms(*(t or "" for t in texts)) > 0).sum(axis=0)).all()
