@@ -11,7 +11,8 @@ Spark splits where a run is frequent.
 
 Cases: null or empty text has no words and no hits; an empty benchmark, or one without
 words, hits nothing. Items with equal windows are all reported. Repeated documents give
-repeated results; repeated item ids count once. Null item ids are left out.
+repeated results; repeated item ids count once. Items with a null id hit like any other; together they count
+as one item, whose null comes last and is in no joined list of ids.
 Only DataFrame operations are used.
 """
 
@@ -36,10 +37,13 @@ def normal_words(text: str = "text") -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
-    """One row per distinct window: gram (its words), size, items that have it, its hash."""
+    """One row per distinct window: gram (its words), size, items that have it, its hash.
+
+    ``items`` may hold one null, for all items without an id.
+    """
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item"), normal_words().alias("words")
-    ).where("item is not null and size(words) > 0")
+    ).where("size(words) > 0")
     placed = items.select(
         "item", "words", F.least(F.size("words"), F.lit(n)).alias("size")
     ).withColumn("at", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
@@ -50,7 +54,10 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
             " (h, x) -> xxhash64(h, x))"
         ).alias("code"),
     )
-    return grams.groupBy("gram", "size", "code").agg(F.collect_set("item").alias("items"))
+    return grams.groupBy("gram", "size", "code").agg(
+        # arrays, because a set of the ids themselves leaves nulls out
+        F.flatten(F.collect_set(F.array("item"))).alias("items")
+    )
 
 
 def _code(size: int) -> str:

@@ -3,8 +3,9 @@ from __future__ import annotations
 import hashlib
 import re
 
+import duckdb
 import pyarrow as pa
-from saldora.llm import decontaminate
+from saldora.llm import decontaminate, queries
 from saldora.llm.queries import op10_benchmark_hits
 
 from tests_llm_helpers import by_id, documents, rows
@@ -81,3 +82,31 @@ def test_empty_tables(spark):
     assert rows(decontaminate.contamination(some, _benchmark(spark, [])))[0]["n_hit"] == 0
     assert len(rows(decontaminate.remove_contaminated(some, _benchmark(spark, [])))) == 1
     assert len(rows(decontaminate.remove_spans(some, _benchmark(spark, [(9, "!")])))) == 1
+
+
+def test_items_without_an_id_hit_too(spark):
+    long = " ".join(f"w{k}" for k in range(12))
+    items = [(None, long), (None, "p q"), (3, "p q"), (None, None), (None, "...")]
+    texts = ["see " + long, "p q", "p q and " + long, "clean text"]
+    docs = documents(spark, list(enumerate(texts)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = by_id(decontaminate.contamination(docs, bench))
+    assert {i: (r["n_hit"], r["items"]) for i, r in found.items()} == {
+        0: (12, [None]), 1: (2, ["3", None]), 2: (14, ["3", None]), 3: (0, [])
+    }
+    assert [r["doc_id"] for r in rows(decontaminate.remove_contaminated(docs, bench))] == [3]
+
+
+def test_query_agrees_with_its_sql_on_items_without_an_id(spark, tmp_path):
+    long = " ".join(f"w{k}" for k in range(12))
+    documents(spark, list(enumerate(["see " + long, "p q", "p q and " + long, "clean text"]))).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(None, long), (None, "p q"), (3, "p q")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    result = con.execute(queries.ORACLE["op10_benchmark_hits"])
+    names = [c[0] for c in result.description]
+    expected = {r[0]: dict(zip(names, r)) for r in result.fetchall()}
+    assert by_id(queries.op10_benchmark_hits(spark, str(tmp_path))) == expected
