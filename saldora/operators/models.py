@@ -294,7 +294,7 @@ def long_results(tables: dict[str, DataFrame]) -> DataFrame:
         key = RESULT_KEYS[name]
         measures = [c for c in table.columns if c != key]
         cells = F.array(*[
-            F.struct(F.lit(c).alias("measure"), F.col(quoted(c)).alias("value")) for c in measures
+            F.struct(F.lit(c).alias("measure"), quoted(c).alias("value")) for c in measures
         ])
         parts.append(
             table.select(F.lit(name).alias("table"), F.col(key).cast("string").alias("row"), F.inline(cells))
