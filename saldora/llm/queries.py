@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over their whole tables; the mix has two."""
+"""The operators as registered queries over their whole tables; the mix has two."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldora.llm import (
-    decontaminate, fingerprint, language, mixing, neardup, quality, revisit, secrets, substring, toxicity,
+    decontaminate, fingerprint, language, mixing, neardup, quality, revisit, secrets, substring, topk,
+    toxicity,
 )
 from saldora.llm.rows import held_out, table
 
@@ -91,12 +92,16 @@ def op10_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_secret_scan, op2_quality_neighbours, op3_source_mix, op3_mixed_shards, op4_near_duplicates,
         op5_fingerprints, op6_warc_revisits, op7_repeated_passages, op8_toxicity, op9_language,
-        op10_benchmark_hits,
+        op10_benchmark_hits, op11_topk_search,
     )
 }
 
@@ -180,10 +185,27 @@ SELECT 'revisit-' || page_id AS record_id, url, again AS at,
 FROM f
 """
 
+_TOPK_SQL = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM t WHERE n <= 5
+"""
+
 # The others have no SQL form: trained scores, MinHash values and hash orders, and offsets
 # of regular expression matches. Tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op6_warc_revisits": _REVISITS_SQL,
     "op7_repeated_passages": _REPEATS_SQL,
     "op10_benchmark_hits": _BENCHMARK_SQL,
+    "op11_topk_search": _TOPK_SQL,
 }

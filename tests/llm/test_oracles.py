@@ -12,7 +12,7 @@ from tests_llm_helpers import rows
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     cursor = con.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
