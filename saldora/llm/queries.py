@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldora.llm import (
-    decontaminate, fingerprint, language, mixing, neardup, quality, revisit, secrets, substring, topk,
-    toxicity,
+    decontaminate, fingerprint, language, mixing, neardup, quality, revisit, runs, secrets, substring,
+    topk, toxicity,
 )
 from saldora.llm.rows import held_out, table
 
@@ -96,12 +96,38 @@ def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``documents`` with the periodic stretches that the contract of op13 plants: where 10 divides
+    h, the words from a on repeat the first p of them."""
+    planted = """transform(array(regexp_extract_all(coalesce(text, ''), '[^\\\\x20\\\\x09-\\\\x0D]+', 0)), w ->
+      if(size(w) = 0, '', concat_ws(' ', transform(sequence(0, size(w) - 1), i -> get(w, cast(
+        if(i < g % size(w), i, g % size(w) + (i - g % size(w)) % (1 + (size(w) - g % size(w)) div (3 + g % 8)))
+      as int))))))[0]"""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    return docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g")).select(
+        "doc_id", F.when(F.col("h") % 10 == 0, F.expr(planted)).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(_with_periods(table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # greatest length, then smallest start, then smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    return found.withColumn("x", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("x.col2")).alias("start"),
+        F.col("x.length").alias("length"), (-F.col("x.col3")).alias("period"),
+        F.expr("1000 * x.length div -x.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_secret_scan, op2_quality_neighbours, op3_source_mix, op3_mixed_shards, op4_near_duplicates,
         op5_fingerprints, op6_warc_revisits, op7_repeated_passages, op8_toxicity, op9_language,
-        op10_benchmark_hits, op11_topk_search,
+        op10_benchmark_hits, op11_topk_search, op13_periodic_runs,
     )
 }
 
