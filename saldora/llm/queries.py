@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldora.llm import (
-    decontaminate, fingerprint, language, mixing, neardup, quality, revisit, runs, secrets, substring,
-    topk, toxicity,
+    decontaminate, fingerprint, language, manifest, mixing, neardup, quality, revisit, runs, secrets,
+    substring, topk, toxicity,
 )
 from saldora.llm.rows import held_out, table
 
@@ -96,6 +96,16 @@ def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(held_out(3, 0), lowered).otherwise(F.col("text"))
+    found = manifest.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered={"text": changed})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 def _with_periods(docs: DataFrame) -> DataFrame:
     """``documents`` with the periodic stretches that the contract of op13 plants: where 10 divides
     h, the words from a on repeat the first p of them."""
@@ -127,7 +137,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         op1_secret_scan, op2_quality_neighbours, op3_source_mix, op3_mixed_shards, op4_near_duplicates,
         op5_fingerprints, op6_warc_revisits, op7_repeated_passages, op8_toxicity, op9_language,
-        op10_benchmark_hits, op11_topk_search, op13_periodic_runs,
+        op10_benchmark_hits, op11_topk_search, op12_merkle_manifest, op13_periodic_runs,
     )
 }
 
@@ -227,6 +237,62 @@ t AS (
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM t WHERE n <= 5
 """
 
+# crc32 of a decimal, unsigned, from its definition
+_CRC_SQL = """CAST(xor(4294967295, list_reduce(list_concat([4294967295],
+    list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1), lambda i: ord(CAST({0} AS VARCHAR)[i]))),
+    lambda a, c: list_reduce(list_concat([xor(a, c)], range(8)),
+      lambda x, _: xor(x >> 1, 3988292384 * (x & 1))))) AS BIGINT)"""
+
+_FIELD_SQL = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD_SQL.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_MANIFEST_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND {_CRC_SQL.format("doc_id")} % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM documents),
+l AS (SELECT doc_id, lang, {_leaf_sql("text")} AS leaf, {_leaf_sql("changed")} AS checked FROM d),
+g AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n,
+    CAST(dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS BIGINT) AS grp FROM l),
+up AS (  -- all nodes below the groups' roots
+  SELECT grp, 0 AS lv, CAST(i AS BIGINT) AS i, CAST(n AS BIGINT) AS n, leaf AS h FROM g
+  UNION ALL
+  SELECT grp, lv + 1, i // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY grp, lv, i // 8),
+subs AS (SELECT grp, h FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lv, grp AS i, (SELECT count(*) FROM subs) AS n, h FROM subs
+  UNION ALL
+  SELECT lv + 1, i // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY lv, i // 8),
+flank AS (  -- for every leaf and level, what stands before and after its node
+  SELECT g.grp, g.i AS leaf_i, up.lv,
+    coalesce(string_agg(up.h, '' ORDER BY up.i) FILTER (up.i < g.i // CAST(pow(8, up.lv) AS BIGINT)), '') AS a,
+    coalesce(string_agg(up.h, '' ORDER BY up.i) FILTER (up.i > g.i // CAST(pow(8, up.lv) AS BIGINT)), '') AS b
+  FROM g JOIN up ON up.grp = g.grp AND up.n > 1 AND up.i // 8 = g.i // CAST(pow(8, up.lv + 1) AS BIGINT) GROUP BY ALL
+  UNION ALL
+  SELECT g.grp, g.i, 1000 + top.lv,
+    coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i < g.grp // CAST(pow(8, top.lv) AS BIGINT)), ''),
+    coalesce(string_agg(top.h, '' ORDER BY top.i) FILTER (top.i > g.grp // CAST(pow(8, top.lv) AS BIGINT)), '')
+  FROM g JOIN top ON top.n > 1 AND top.i // 8 = g.grp // CAST(pow(8, top.lv + 1) AS BIGINT) GROUP BY ALL),
+path AS (
+  SELECT grp, leaf_i, string_agg(a || b, '' ORDER BY lv) AS p, list(struct_pack(a := a, b := b) ORDER BY lv) AS f
+  FROM flank GROUP BY ALL),
+root AS (SELECT h FROM top WHERE n = 1),
+folded AS (
+  SELECT g.*, p, coalesce(len(f), 0) AS steps, f, subs.h AS subroot, (SELECT h FROM root) AS root
+  FROM g JOIN subs USING (grp) LEFT JOIN path ON path.grp = g.grp AND path.leaf_i = g.i),
+walk AS (
+  SELECT grp, i, 0 AS k, checked AS h, steps, f FROM folded
+  UNION ALL
+  SELECT grp, i, k + 1, sha256(f[k + 1].a || h || f[k + 1].b), steps, f FROM walk WHERE k < steps)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, walk.h AS folded_root, walk.h = root AS verified
+FROM folded JOIN walk ON walk.grp = folded.grp AND walk.i = folded.i AND walk.k = walk.steps
+"""
+
 # The others have no SQL form: trained scores, MinHash values and hash orders, and offsets
 # of regular expression matches. Tests hold them against brute force.
 ORACLE: dict[str, str] = {
@@ -234,4 +300,5 @@ ORACLE: dict[str, str] = {
     "op7_repeated_passages": _REPEATS_SQL,
     "op10_benchmark_hits": _BENCHMARK_SQL,
     "op11_topk_search": _TOPK_SQL,
+    "op12_merkle_manifest": _MANIFEST_SQL,
 }
