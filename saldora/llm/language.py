@@ -5,9 +5,14 @@ position of a text with a distribution over the learned languages; the distribut
 all positions are averaged into the document's.
 
 Training sees at most ``TrainingBounds.documents`` documents with a language, drawn by key
-hash and evenly over languages, and of each at most ``windows`` stretches of ``width``
-bytes, spread over its whole text. Prediction reads every byte of every text, in stretches
-of ``width`` bytes that run through the network side by side.
+hash, the same expected number of each language, and of each document stretches of ``width``
+bytes, spread over its whole text: ``windows`` of them, of documents in rare languages up to
+``most_windows``. Every step draws its batch evenly over the languages. At most ``languages``
+of them are learned, the commonest ones.
+
+Prediction reads every byte of every text, in stretches of ``width`` bytes that run through
+the network side by side. The last stretch of a text is filled with zero bytes, so a result
+depends on the text alone and not on its neighbours (up to the rounding of 32-bit sums).
 
 Cases: null text and text without a letter are ``und`` with score 0. With no learned
 language at all, every document is ``und``. Repeated rows give repeated results. A null id
@@ -39,6 +44,7 @@ class TrainingBounds:
 
     documents: int = 3_000
     windows: int = 4
+    most_windows: int = 64
     width: int = 64
     languages: int = 500
     hidden: int = 8
@@ -197,15 +203,18 @@ def gradients(net: Network, seen: np.ndarray, mask: np.ndarray, label: np.ndarra
 def fit(
     seen: np.ndarray, mask: np.ndarray, label: np.ndarray, languages: list[str], bounds: TrainingBounds
 ) -> Network:
-    """Adam on random batches of byte rows."""
+    """Adam on batches of byte rows, drawn evenly over the languages."""
     net = Network.start(languages, bounds.hidden, bounds.width)
     if len(seen) == 0 or len(languages) < 2:
         return net
     draw = np.random.default_rng(11)
+    by_label = np.argsort(label, kind="stable")
+    present, begin, count = np.unique(label[by_label], return_index=True, return_counts=True)
     first = [np.zeros_like(w) for w in net.weights()]
     second = [np.zeros_like(w) for w in net.weights()]
     for step in range(1, bounds.steps + 1):
-        pick = draw.integers(0, len(seen), bounds.batch)
+        which = draw.integers(0, len(present), bounds.batch)
+        pick = by_label[begin[which] + (draw.random(bounds.batch) * count[which]).astype(np.int64)]
         _, grads = gradients(net, seen[pick], mask[pick], label[pick])
         size = float(np.sqrt(sum(float((g * g).sum()) for g in grads)))
         rate = bounds.rate * min(1.0, 2 * (1 - (step - 1) / bounds.steps))
@@ -223,14 +232,14 @@ def fit(
 
 
 def _cut(bounds: TrainingBounds):
-    """Arrow task: up to ``windows`` stretches of each text, evenly spread over all of it."""
+    """Arrow task: the wanted number of stretches of each text, evenly spread over all of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches):
             ids, langs, parts = [], [], []
             for i in range(rows.num_rows):
                 size = int(offsets[i + 1] - offsets[i])
-                n = min(bounds.windows, -(-size // bounds.width))
+                n = min(rows.column(3)[i].as_py(), -(-size // bounds.width))
                 for k in range(n):
                     at = offsets[i] + (k * max(0, size - bounds.width)) // max(1, n - 1)
                     ids.append(rows.column(0)[i].as_py())
@@ -259,30 +268,32 @@ def train(docs: DataFrame, learnable: Column, bounds: TrainingBounds = TrainingB
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").alias("lang"),
         learnable.alias("use"),
     ).where("use and lang is not null and doc_id is not null and text is not null").drop("use")
-    counts = known.groupBy("lang").count().orderBy("lang").limit(bounds.languages + 1).collect()
-    if len(counts) > bounds.languages:
-        raise ValueError(f"more than {bounds.languages} languages; raise TrainingBounds.languages")
-    languages = [r["lang"] for r in counts]
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(bounds.languages).collect()
+    languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Network.start([], bounds.hidden, bounds.width)
-    # the same expected number of documents of each language, and a bound for all of them
+    # the same expected number of documents of each language, and a bound for all of them;
+    # where a language has fewer, each gives more stretches
     share = bounds.documents / len(languages)
-    rates = F.create_map(*[
-        F.lit(x) for r in counts for x in (r["lang"], min(1.0, share / r["count"]))
-    ])
+    most = {
+        r["lang"]: min(bounds.most_windows, bounds.windows * max(1, round(share / r["count"]))) for r in counts
+    }
+    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, share / r["count"]))])
+    windows = F.create_map(*[F.lit(x) for kv in most.items() for x in kv])
     draw = F.pmod(F.xxhash64(F.lit("lang"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     ids = first_by_hash(
-        known.where(draw < rates[F.col("lang")]).select("doc_id").distinct(), bounds.documents
+        known.where(draw < F.try_element_at(rates, F.col("lang"))).select("doc_id").distinct(), bounds.documents
     )
     parts = (
-        known.join(F.broadcast(ids), "doc_id").select("doc_id", "lang", "text")
+        known.join(F.broadcast(ids), "doc_id").where(F.col("lang").isin(languages))
+        .select("doc_id", "lang", "text", F.try_element_at(windows, F.col("lang")).alias("windows"))
         .mapInArrow(_cut(bounds), "doc_id long, lang string, part binary")
         .groupBy("doc_id", "part").agg(F.min("lang").alias("lang"))
         .withColumn("place", F.xxhash64("part", "doc_id"))
     )
     sample = (
         parts.orderBy("place", "doc_id", "part")
-        .limit(bounds.documents * bounds.windows)
+        .limit(2 * bounds.documents * bounds.windows)
         .collect()
     )
     seen, mask = _rows([bytes(r["part"]) for r in sample], bounds.width)
@@ -294,7 +305,7 @@ def train(docs: DataFrame, learnable: Column, bounds: TrainingBounds = TrainingB
 
 
 def document_probabilities(
-    net: Network, data: np.ndarray, offsets: np.ndarray, most_rows: int = 2048
+    net: Network, data: np.ndarray, offsets: np.ndarray, batch: int = 2048
 ) -> np.ndarray:
     """Mean distribution over all positions, per document; zeros for an empty one."""
     width = net.width
@@ -304,14 +315,17 @@ def document_probabilities(
     order = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     at = offsets[:-1][owner] + order * width
     length = np.minimum(width, offsets[1:][owner] - at)
-    total = np.zeros((len(sizes), len(net.languages)))
-    padded = np.concatenate([data, np.zeros(width, dtype=np.uint8)])
-    for k in range(0, len(owner), most_rows):
-        part = slice(k, k + most_rows)
-        p = net.probabilities(padded[at[part] + np.arange(width)[:, None]])
-        p *= np.arange(width)[:, None] < length[part]
-        for c, per_row in enumerate(p.sum(axis=1)):
-            total[:, c] += np.bincount(owner[part], per_row, minlength=len(sizes))
+    per_piece = np.zeros((len(net.languages), len(owner)))
+    places = np.arange(width)[:, None]
+    for k in range(0, len(owner), batch):
+        part = slice(k, k + batch)
+        inside = places < length[part]
+        columns = np.zeros(inside.shape, dtype=np.uint8)  # zero beyond a document's end, as in training
+        columns[inside] = data[(at[part] + places)[inside]]
+        p = net.probabilities(columns)
+        p *= inside
+        per_piece[:, part] = p.sum(axis=1)
+    total = np.stack([np.bincount(owner, row, minlength=len(sizes)) for row in per_piece], axis=1)
     return total / np.maximum(1, sizes)[:, None]
 
 

@@ -123,10 +123,86 @@ def test_inference_equals_training_states():
     for d in (0, 1):
         assert np.allclose(net._run(seen.T.astype(np.intp), d), net.states(seen, d), atol=1e-5)
     data, offsets = seen.reshape(-1), np.array([0, 0, 5, 40, 112])
-    p = language.document_probabilities(net, data, offsets, most_rows=3)
+    p = language.document_probabilities(net, data, offsets, batch=3)
     assert np.allclose(p.sum(axis=1), [0, 1, 1, 1], atol=1e-5)
 
 
+def _forward(net, text):
+    """Mean distribution of one text, position by position in plain numpy."""
+    data, h = np.frombuffer(text.encode(), np.uint8), net.hidden[0].shape[0]
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    total = np.zeros(len(net.languages))
+    for a in range(0, len(data), net.width):
+        piece = np.zeros(net.width, np.uint8)
+        piece[: len(data[a : a + net.width])] = data[a : a + net.width]
+        states = np.zeros((2, net.width, h))
+        for d in (0, 1):
+            state = np.zeros(h)
+            for t in range(net.width) if d == 0 else reversed(range(net.width)):
+                x, back = net.inputs[d][piece[t]].astype(float), state @ net.hidden[d].astype(float)
+                update, reset = logistic(x[:h] + back[:h]), logistic(x[h : 2 * h] + back[h : 2 * h])
+                new = np.tanh(x[2 * h :] + reset * back[2 * h :])
+                state = new + update * (state - new)
+                states[d, t] = state
+        logits = states[0] @ net.output[:h] + states[1] @ net.output[h:] + net.bias
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        total += (p / p.sum(axis=1, keepdims=True))[: len(data) - a].sum(axis=0)
+    return total / max(1, len(data))
+
+
+def test_language_query_against_plain_network(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    net = language.train(docs, ~held_out(3, 1))
+    found = by_id(op9_language(spark, sf_dir))
+    seen = 0
+    for d in rows(docs.select("doc_id", "text")):
+        if d["text"] is not None and 0 < len(d["text"]) < 800 and language.has_letter(d["text"]):
+            p, r = _forward(net, d["text"]), found[d["doc_id"]]
+            assert r["score"] == pytest.approx(p.max(), abs=2e-4)
+            assert r["lang_pred"] == net.languages[p.argmax()] or np.sort(p)[-1] - np.sort(p)[-2] < 1e-3
+            seen += 1
+    assert seen > 30
+
+
+def test_language_depends_on_the_text_alone(spark, sf_dir):
+    """Alone, repeated, next to others and in any partitioning: the same scores."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null")
+    net = language.train(docs, ~held_out(3, 1), language.TrainingBounds(steps=80))
+
+    def found(these):
+        got = by_id(language.predict(these, net))
+        return {i: r["lang_pred"] for i, r in got.items()}, pytest.approx({i: r["score"] for i, r in got.items()}, abs=1e-6)
+
+    short = docs.select("doc_id", F.expr("substring(text, 1, 20)").alias("text"))
+    for these in (docs.select("doc_id", "text"), short):
+        one = found(these)
+        for other in (these.repartition(13), these.orderBy(F.desc("doc_id")).coalesce(1)):
+            labels, scores = found(other)
+            assert labels == one[0] and scores.expected == one[1]
+    data = [(1, "Guten Tag"), (2, "x" * 90), (3, "Guten Tag"), (4, "and so on, he said"), (5, "Guten Tag")]
+    labels, scores = found(documents(spark, data).coalesce(1))
+    alone = rows(language.predict(documents(spark, data[:1]), net))[0]
+    assert {labels[i] for i in (1, 3, 5)} == {alone["lang_pred"]}
+    assert [scores.expected[i] for i in (1, 3, 5)] == pytest.approx([alone["score"]] * 3, abs=1e-6)
+
+
+def test_rare_languages_are_learned(spark):
+    """Batches are even over languages: one with six documents of 2,006 is told apart."""
+    draw = np.random.default_rng(4)
+    text = lambda letters: "".join(draw.choice(list(letters), 60))
+    data = [(i, text("abcdef "), "aa") for i in range(2000)] + [(5000 + i, text("uvwxyz "), "bb") for i in range(6)]
+    docs = documents(spark, [*data, *((9000 + i, text("uvwxyz "), None) for i in range(20))])
+    found = by_id(language.identify_language(docs, F.lit(True), language.TrainingBounds(documents=400, steps=150)))
+    assert all(found[9000 + i]["lang_pred"] == "bb" for i in range(20))
+    assert sum(found[i]["lang_pred"] == "aa" for i in range(2000)) > 1990
+
+
+def test_commonest_languages_within_the_bound(spark):
+    docs = documents(spark, [(i, "abc", f"l{i % 7}") for i in range(50)])
+    net = language.train(docs, F.lit(True), language.TrainingBounds(languages=3, steps=2))
+    assert net.languages == ["l0", "l1", "l2"]  # eight of l0, seven of the others
+
+
 def test_non_negative_risk_finds_positives():
     draw = np.random.default_rng(2)
     pos = (draw.random((400, 30)) < 0.1).astype(np.float32)
