@@ -11,7 +11,9 @@ inputs are the presence of selected lower-case words and word beginnings, hashed
 
 Bounds: at most ``positives`` confirmed and ``unlabelled`` other documents are fitted on,
 chosen by key hash; at most ``selected`` features enter the model, those that set the
-confirmed documents apart most clearly from the unlabelled ones.
+confirmed documents apart most clearly from the unlabelled ones. They are counted and chosen
+in Spark; the driver gets the chosen features of the sampled documents only, so what it holds
+is bounded by ``(positives + unlabelled) * selected``, however long the texts are.
 
 Cases: a null or empty text has no features and scores as such. Labels that are null are
 ignored; of several labels of one id the largest counts. Without any confirmed document
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from saldora.llm.rows import first_by_hash
 from saldora.llm.textbytes import byte_table, slices, span_hashes, words
 from saldora.llm.textbytes import _BYTE_CODE
+from saldora.session import local_frame, materialise
 
 THRESHOLD = 0.7
 # standard errors by which a feature must be commoner among the confirmed: chance alone
@@ -84,14 +87,19 @@ def features(data: np.ndarray, offsets: np.ndarray, hashed: int) -> tuple[np.nda
 # ------------------------------------------------------------------ fitting
 
 
-def _dense(lists: list[np.ndarray], slot: np.ndarray, columns: int) -> np.ndarray:
-    out = np.zeros((len(lists), columns), dtype=np.float32)
+def _dense(lists: list[np.ndarray], columns: int) -> np.ndarray:
+    """One byte a cell; products are taken of a batch at a time."""
+    out = np.zeros((len(lists), columns), dtype=np.uint8)
     for i, own in enumerate(lists):
-        places = slot[own]
-        out[i, places[places >= 0]] = 1
+        out[i, own] = 1
     return out
 
 
+def _margins(x: np.ndarray, w: np.ndarray, step: int = 512) -> np.ndarray:
+    parts = [x[at : at + step].astype(np.float32) @ w[:-1] for at in range(0, len(x), step)]
+    return (np.concatenate(parts) if parts else np.zeros(0)) + w[-1]
+
+
 def _log1pexp(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
@@ -112,8 +120,8 @@ def nn_pu_weights(
         return np.append(x.T @ out, out.sum()) / max(1, len(out))
 
     for step in range(1, steps + 1):
-        p = pos[draw.integers(0, len(pos), batch)]
-        u = unl[draw.integers(0, len(unl), batch)]
+        p = pos[draw.integers(0, len(pos), batch)].astype(np.float32)
+        u = unl[draw.integers(0, len(unl), batch)].astype(np.float32)
         z_p, s_p = side(p)
         z_u, s_u = side(u)
         excess = _log1pexp(z_u).mean() - prior * _log1pexp(z_p).mean()
@@ -140,37 +148,49 @@ def best_cut(pos: np.ndarray, unl: np.ndarray, prior: float) -> float:
     return float((cuts[best[0]] + cuts[best[-1]]) / 2)
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, bounds: Bounds) -> Classifier:
-    """Select features, fit on three quarters of both samples, place the cut on the rest."""
+def fit(
+    pos: list[np.ndarray], unl: list[np.ndarray], apart: list[np.ndarray], chosen: np.ndarray,
+    prior: float, bounds: Bounds,
+) -> Classifier:
+    """Fit on what ``apart`` leaves of both samples, place the cut on what it sets apart.
+
+    ``pos`` and ``unl`` hold the places of each document's features in ``chosen``.
+    """
     slot = np.full(bounds.hashed, -1, dtype=np.int32)
     if not pos or not unl:
         return Classifier(slot, np.zeros(1), 0.0, -50.0)
-    # a sample too small to be halved is used for both
-    hold = (lambda k: k % 4 == 0) if min(len(pos), len(unl)) >= 8 else (lambda k: False)
-    parts = [([x for i, x in enumerate(s) if not hold(i)], [x for i, x in enumerate(s) if hold(i)] or s) for s in (pos, unl)]
-    counts = []
-    for own, _ in parts:
-        n = np.zeros(bounds.hashed)
-        for x in own:
-            n[x] += 1
-        counts.append((n, len(own)))
-    (n_p, all_p), (n_u, all_u) = counts
-    share = (n_p + n_u) / (all_p + all_u)
-    gap = n_p / all_p - n_u / all_u
-    score = gap / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / all_p + 1 / all_u))
-    chosen = np.argsort(-score, kind="stable")[: bounds.selected]
-    clear = score[chosen] >= (CLEAR if min(all_p, all_u) >= 50 else 0)
-    chosen = chosen[clear & (n_p[chosen] >= min(3, all_p)) & (gap[chosen] > 0)]
     slot[chosen] = np.arange(len(chosen))
-    fitted = [_dense(own, slot, len(chosen)) for own, _ in parts]
+    fitted, checked = [], []
+    for own, out in zip((pos, unl), apart):
+        fitted.append(_dense([x for x, o in zip(own, out) if not o], len(chosen)))
+        checked.append(_dense([x for x, o in zip(own, out) if o] or own, len(chosen)))
     w = nn_pu_weights(fitted[0], fitted[1], prior, bounds.steps, bounds.batch)
-    checked = [_dense(own, slot, len(chosen)) @ w[:-1] + w[-1] for _, own in parts]
-    cut = best_cut(checked[0], checked[1], prior)
-    spread = float(np.std(np.concatenate(checked))) or 1.0
+    margins = [_margins(x, w) for x in checked]
+    cut = best_cut(margins[0], margins[1], prior)
+    spread = float(np.std(np.concatenate(margins))) or 1.0
     scale = 4.0 / spread
     return Classifier(slot, w, scale, -scale * cut + float(np.log(THRESHOLD / (1 - THRESHOLD))))
 
 
+def select_features(sample: DataFrame, p: int, u: int, bounds: Bounds) -> np.ndarray:
+    """Hashed features that are clearly commoner among the confirmed documents, best first.
+
+    ``sample`` has confirmed, other (booleans: fitted on as such) and found, the distinct
+    features of a document; ``p`` confirmed and ``u`` other documents are fitted on.
+    """
+    counts = sample.where("confirmed or other").select("confirmed", "other", F.explode("found").alias("feature"))
+    counts = counts.groupBy("feature").agg(F.count_if("confirmed").alias("n_p"), F.count_if("other").alias("n_u"))
+    share = (F.col("n_p") + F.col("n_u")) / float(p + u)
+    gap = F.col("n_p") / float(p) - F.col("n_u") / float(u)
+    error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / p + 1 / u))
+    clear = CLEAR if min(p, u) >= 50 else 0.0
+    best = counts.select("feature", "n_p", gap.alias("gap"), (gap / error).alias("z"))
+    best = best.orderBy(F.desc("z"), "feature").limit(bounds.selected)
+    chosen = best.where((F.col("z") >= clear) & (F.col("n_p") >= min(3, p)) & (F.col("gap") > 0))
+    chosen = chosen.orderBy(F.desc("z"), "feature")
+    return np.array([r["feature"] for r in chosen.collect()], dtype=np.int64)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, learnable: Column, bounds: Bounds = Bounds()
 ) -> Classifier:
@@ -182,7 +202,7 @@ def train(
     )
     total, toxic = known.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
     if not toxic:
-        return fit([], [], 0.0, bounds)
+        return fit([], [], [], np.zeros(0, np.int64), 0.0, bounds)
     confirmed = first_by_hash(known.where("toxic = 1").select("doc_id"), bounds.positives)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         learnable & F.col("doc_id").isNotNull()
@@ -205,18 +225,39 @@ def train(
                 names=["doc_id", "kinds", "found"],
             )
 
-    sample = (
+    sample = materialise(
         texts.join(F.broadcast(wanted), "doc_id").select("doc_id", "kinds", "text")
         .mapInArrow(run, "doc_id long, kinds array<int>, found array<long>")
         .groupBy("doc_id").agg(F.min("kinds").alias("kinds"), F.min("found").alias("found"))
         .select("doc_id", "kinds", F.col("found").cast("array<int>").alias("found"))
-        .toArrow().sort_by("doc_id")
     )
-    kinds = sample["kinds"].to_pylist()
-    found = [np.asarray(x.values, dtype=np.int64) for x in sample["found"]]
-    pos = [f for k, f in zip(kinds, found) if 1 in k]
-    unl = [f for k, f in zip(kinds, found) if 0 in k]
-    return fit(pos, unl, toxic / total, bounds)
+    # of each kind every fourth document places the cut; the ids are as bounded as the sample
+    ids = sample.select("doc_id", "kinds").toArrow().sort_by("doc_id").to_pylist()
+    lists = [[r["doc_id"] for r in ids if k in r["kinds"]] for k in (1, 0)]
+    if not all(lists):
+        return fit([], [], [], np.zeros(0, np.int64), 0.0, bounds)
+    # a sample too small to be parted is used for both
+    parted = min(map(len, lists)) >= 8
+    apart = [np.arange(len(x)) % 4 == 0 if parted else np.zeros(len(x), dtype=bool) for x in lists]
+    fitted = [[i for i, out in zip(x, o) if not out] for x, o in zip(lists, apart)]
+    marked = local_frame(
+        docs.sparkSession, [(i, i in p, i in u) for p, u in [map(set, fitted)] for i in sorted(p | u)],
+        "doc_id long, confirmed boolean, other boolean",
+    )
+    chosen = select_features(
+        sample.join(F.broadcast(marked), "doc_id"), len(fitted[0]), len(fitted[1]), bounds
+    )
+    slot = np.full(bounds.hashed, -1, dtype=np.int32)
+    slot[chosen] = np.arange(len(chosen))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [x[x >= 0] for x in (slot[f.values.to_numpy(zero_copy_only=False)] for f in batch["found"])]
+            yield batch.set_column(1, "found", pa.array(own, pa.list_(pa.int32())))
+
+    rows = sample.select("doc_id", "found").mapInArrow(places, "doc_id long, found array<int>").toArrow()
+    found = {i: np.asarray(x.values, dtype=np.int16) for i, x in zip(rows["doc_id"].to_pylist(), rows["found"])}
+    return fit(*[[found[i] for i in x] for x in lists], apart, chosen, toxic / total, bounds)
 
 
 def scores(model: Classifier, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
