@@ -21,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldora.llm.rows import row_key
+from saldora.llm.rows import row_key, unused
 from saldora.session import materialise
 
 N = 10
-BROADCAST_WINDOWS = 500_000  # rows of about a hundred bytes
+BROADCAST_WINDOWS = 500_000  # a round; rows of about a hundred bytes
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -69,29 +69,39 @@ def _code(size: int) -> str:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
-    """One row per occurrence: key (row_key), at (first word, from 0), size, items."""
+    """One row per occurrence: key (row_key), at (first word, from 0), size, items.
+
+    The windows are broadcast, ``BROADCAST_WINDOWS`` of them at a time: a larger benchmark takes
+    several rounds over the documents, each with an equal share of the window hashes. No
+    document's words go through an exchange.
+    """
     windows = materialise(benchmark_windows(benchmark, n))
-    sizes = [(r["size"], r["n"]) for r in windows.groupBy("size").agg(F.count("*").alias("n")).collect()]
+    counts = {r["size"]: r["n"] for r in windows.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    sizes = sorted(counts)
+    if not sizes:
+        return docs.sparkSession.range(0).selectExpr(
+            "string(id) key", "int(id) at", "int(id) size", "array(string(id)) items"
+        )
     words = docs.select(row_key().alias("key"), normal_words().alias("words"))
     hashed = words.withColumn("h", F.expr("transform(words, w -> xxhash64(w))"))
+    # all lengths in one pass. From here to the hits there are only expressions that Spark
+    # compiles into one loop: no row that still has its document's words is ever copied
+    lengths = F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0])
+    runs = hashed.select("key", "words", "h", lengths.alias("size"))
+    runs = runs.select("key", "words", "h", "size", F.posexplode("h").alias("i", "first"))
+    runs = runs.where(F.col("i") <= F.size("h") - F.col("size"))
+    code = F.expr(_code(sizes[-1]))
+    for size in sizes[:-1]:
+        code = F.when(F.col("size") == size, F.expr(_code(size))).otherwise(code)
+    runs = runs.select("key", "words", "i", "size", code.alias("code"))
+    rounds = -(-sum(counts.values()) // BROADCAST_WINDOWS)
     found = None
-    for size, count in sorted(sizes):
-        own = windows.where(F.col("size") == size).select("code", "gram", "items")
-        runs = (
-            hashed.where(F.size("words") >= size)
-            .select("key", "words", "h", F.posexplode("h").alias("i", "first"))
-            .where(F.col("i") <= F.size("h") - size)
-            .withColumn("code", F.expr(_code(size)))
-        )
-        runs = runs.join(F.broadcast(own) if count <= BROADCAST_WINDOWS else own, "code")
-        hits = runs.where(
-            F.array_join(F.slice("words", F.col("i") + 1, size), " ") == F.col("gram")
-        ).select("key", F.col("i").alias("at"), F.lit(size).alias("size"), "items")
+    for part in range(rounds):
+        own = windows.where(F.pmod("code", F.lit(rounds)) == part).select("code", "size", "gram", "items")
+        hits = runs.join(F.broadcast(own), ["code", "size"]).where(
+            F.array_join(F.slice("words", F.col("i") + 1, F.col("size")), " ") == F.col("gram")
+        ).select("key", F.col("i").alias("at"), "size", "items")
         found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return docs.sparkSession.range(0).selectExpr(
-            "string(id) key", "int(id) at", "int(id) size", "array(string(id)) items"
-        )
     return found
 
 
@@ -135,8 +145,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """The rows of ``docs``, all columns, that no window occurs in."""
-    found = find_hits(docs, benchmark, n).select(F.col("key").alias("__key")).distinct()
-    return docs.join(found, row_key() == F.col("__key"), "left_anti")
+    key = unused(docs, "key")
+    found = find_hits(docs, benchmark, n).select(F.col("key").alias(key)).distinct()
+    return docs.join(found, row_key() == F.col(key), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
@@ -144,12 +155,13 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame
 
     Documents without hits keep their text as it is.
     """
-    found = hit_report(docs, benchmark, n).select(F.col("key").alias("__key"), F.col("hits").alias("__hits"))
+    key, hits, words = (unused(docs, c) for c in ("key", "hits", "words"))
+    found = hit_report(docs, benchmark, n).select(F.col("key").alias(key), F.col("hits").alias(hits))
     kept = F.expr(
-        "array_join(transform(filter(transform(__words, (w, i) -> struct(w, i)),"
-        " x -> not exists(__hits, h -> x.i >= h.at and x.i < h.at + h.size)), x -> x.w), ' ')"
+        f"array_join(transform(filter(transform({words}, (w, i) -> struct(w, i)),"
+        f" x -> not exists({hits}, h -> x.i >= h.at and x.i < h.at + h.size)), x -> x.w), ' ')"
     )
-    joined = docs.join(found, row_key() == F.col("__key"), "left")
-    return joined.withColumn("__words", normal_words()).withColumn(
-        "text", F.when(F.col("__hits").isNull(), F.col("text")).otherwise(kept)
+    joined = docs.join(found, row_key() == F.col(key), "left")
+    return joined.withColumn(words, normal_words()).withColumn(
+        "text", F.when(F.col(hits).isNull(), F.col("text")).otherwise(kept)
     ).select(*docs.columns)

@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldora.llm.components import connected
+from saldora.llm.rows import unused
 from saldora.llm.textbytes import mix, slices, window_hashes, word_hashes, words
 from saldora.session import materialise
 
@@ -407,16 +408,17 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     the least text hash, of repeated rows one.
     """
     classes = near_duplicate_classes(docs)
+    key, first, node = (unused(docs, c) for c in ("key", "first", "node"))
     keep = materialise(
         classes.groupBy("comp").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")
-        ).select(F.col("x.doc_id").alias("__id"), F.col("x.node").alias("__node"))
+        ).select(F.col("x.doc_id").alias(first), F.col("x.node").alias(node))
     )
-    there = docs.withColumn("__key", text_node())
+    there = docs.withColumn(key, text_node())
     kept = there.join(
-        keep, (F.col("__key") == F.col("__node")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi"
+        keep, (F.col(key) == F.col(node)) & F.col("doc_id").cast("long").eqNullSafe(F.col(first)), "left_semi"
     )
     repeated = classes.groupBy("doc_id", "node").count().where("count > 1").limit(1).count() > 0
     if repeated:
-        kept = kept.dropDuplicates(["doc_id", "__key"])
-    return kept.drop("__key")
+        kept = kept.dropDuplicates(["doc_id", key])
+    return kept.drop(key)

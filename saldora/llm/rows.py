@@ -24,6 +24,14 @@ def document_columns(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, base: str) -> str:
+    """``base``, with as many marks in front as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Identity of a row by what it holds: repeated rows share it, a null id has one too."""
     return F.concat_ws(

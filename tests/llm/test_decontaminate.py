@@ -110,3 +110,27 @@ def test_query_agrees_with_its_sql_on_items_without_an_id(spark, tmp_path):
     names = [c[0] for c in result.description]
     expected = {r[0]: dict(zip(names, r)) for r in result.fetchall()}
     assert by_id(queries.op10_benchmark_hits(spark, str(tmp_path))) == expected
+
+
+def test_benchmarks_beyond_one_broadcast(spark, monkeypatch):
+    """Rounds of a few windows each find what one round finds, in long texts and at all lengths."""
+    items = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(3 + i % 14))) for i in range(30)]
+    texts = [" ".join(f"w{(k * 3 + i) % 50}" for k in range(n)) for i, n in enumerate((0, 5, 60, 20_000))]
+    texts += [" ".join(f"w{k % 50}" for k in range(i, i + 40)) for i in range(8)]
+    docs, bench = documents(spark, list(enumerate(texts))), _benchmark(spark, items)
+    expected = _brute(texts, items)
+    for most in (decontaminate.BROADCAST_WINDOWS, 40):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+        found = by_id(decontaminate.contamination(docs, bench))
+        assert [(found[i]["n_words"], found[i]["n_hit"], len(found[i]["items"])) for i in range(len(texts))] == [e[:3] for e in expected]
+
+
+def test_clashing_names(spark):
+    docs = documents(spark, [(1, "a b c"), (2, "x y")])
+    for name in ("key", "__key", "hits", "words", "WORDS"):
+        docs = docs.drop(name).withColumn(name, docs["lang"])
+    bench = _benchmark(spark, [(1, "a b")])
+    kept = rows(decontaminate.remove_contaminated(docs, bench))
+    assert [r["doc_id"] for r in kept] == [2] and list(kept[0]) == docs.columns
+    spans = rows(decontaminate.remove_spans(docs, bench))
+    assert {r["doc_id"]: r["text"] for r in spans} == {1: "c", 2: "x y"} and list(spans[0]) == docs.columns

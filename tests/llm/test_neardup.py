@@ -150,3 +150,11 @@ def test_pairs_that_agree_in_low_bytes_of_an_earlier_band(spark):
 
     assert links([10, 20, 30, 40]) == {(3, 4)}  # no true common band before this one
     assert links([10, 20, 30, 30]) == set()  # looked at in their first bucket
+
+
+def test_clashing_names(spark):
+    docs = documents(spark, [(1, "a b c"), (2, "a b c"), (3, "x y")])
+    for name in ("__key", "key", "first", "node", "_node"):
+        docs = docs.drop(name).withColumn(name, docs["lang"])
+    kept = rows(neardup.keep_one_of_each(docs))
+    assert sorted(r["doc_id"] for r in kept) == [1, 3] and list(kept[0]) == docs.columns
