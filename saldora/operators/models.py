@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
+from typing import Any
 
+import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
+    DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel,
+    RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from saldora.operators.evaluate import (
     average_precision, best_model, comparison, evaluate, shuffled_donors, threshold_sweep,
 )
 from saldora.operators.features import (
-    SEED, FittedPreprocessor, Preprocessor, TrackSpec, leaky_spec, stratified_folds,
-    stratified_split, with_weights,
+    SEED, TrackSpec, leaky_spec, stratified_folds, stratified_split, with_test_flag,
 )
+from saldora.operators.folds import Prepared, prepare, prepare_folds
+from saldora.operators.logistic import LinearModel, fit_logistic
 from saldora.operators.rank import value_splits
 from saldora.operators.relational import mean_std, quoted, sort_by_abs
-from saldora.session import local_frame, right_size, small
+from saldora.operators.resume import Run
+from saldora.operators.rules import Node, export_nodes, one_tree, tree_probability
+from saldora.session import local_frame, right_size, scratch_path, small
 from saldora.sources import write_csv
 
 # Model names and settings.
 LOGISTIC = "Logistic Regression"
 TREE = "Decision Tree"
 FOREST = "Random Forest"
-MAX_ITER = 1000
 TREE_DEPTH = 6
 FOREST_DEPTH = 10
 FOREST_TREES = 300
@@ -39,95 +47,180 @@ REPEATS = 10
 MAX_BINS = 128
 
 
-def build_models(n_train: int, trees: int = FOREST_TREES, seed: int = SEED) -> dict[str, Estimator]:
-    """The three estimators.
+# Fits that run side by side; each keeps its own executors' cores busy only in part.
+PARALLEL = 4
+# Rows a task of a tree fit has: every row is looked at once for each tree.
+ROWS_PER_TASK = 2_000
+# Bounds of the memory for the statistics of nodes that are split in one pass, in MB.
+NODE_MEMORY = (256, 2_048)
 
-    Spark averages the weighted loss where the usual L2 objective with C = 1 sums it, so
-    the penalty is 1 / (sum of weights), and balanced weights sum to the row count.
+
+def node_memory(rows: int, trees: int, depth: int, features: int) -> int:
+    """MB that lets a level of a forest be one pass, within ``NODE_MEMORY``.
+
+    A node holds three sums for every bin of a random subset of the features; a level has no
+    more nodes than trees times the lesser of 2 ** depth and half the rows.
     """
-    common = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
+    per_node = max(1, round(features**0.5)) * MAX_BINS * 3 * 8
+    nodes = trees * min(2**depth, max(1, rows // 2))
+    return int(min(max(nodes * per_node / 2**20, NODE_MEMORY[0]), NODE_MEMORY[1]))
+
+
+def build_trees(
+    rows: int, features: int, trees: int = FOREST_TREES, seed: int = SEED
+) -> dict[str, Estimator]:
+    """The two estimators over trees."""
+    common = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight", "maxBins": MAX_BINS, "seed": seed}
     return {
-        LOGISTIC: LogisticRegression(
-            maxIter=MAX_ITER, elasticNetParam=0.0, regParam=1.0 / n_train,
-            standardization=False, **common,
-        ),
-        TREE: DecisionTreeClassifier(
-            maxDepth=TREE_DEPTH, maxBins=MAX_BINS, seed=seed, **common
-        ),
+        TREE: DecisionTreeClassifier(maxDepth=TREE_DEPTH, **common),
         FOREST: RandomForestClassifier(
             numTrees=trees, maxDepth=FOREST_DEPTH, featureSubsetStrategy="sqrt",
-            maxBins=MAX_BINS, seed=seed, **common,
+            maxMemoryInMB=node_memory(rows, trees, FOREST_DEPTH, features), **common,
         ),
     }
 
 
-def score(model: Model, vectors: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """``keep`` columns plus ``prob``, the probability of the positive class."""
-    prob = F.get(vector_to_array("probability"), F.lit(1))
-    return model.transform(vectors).select(*keep, prob.alias("prob"))
-
-
 @dataclass
 class Fitted:
-    """A model with the preprocessing it was trained behind."""
+    """A model with the preparation it was trained behind.
+
+    The linear model and the single tree score by one expression over the raw columns; the
+    forest by Spark's model on the prepared vector.
+    """
 
     name: str
-    prep: FittedPreprocessor
-    model: Model
+    prep: Prepared
+    model: LinearModel | Model
     key: str
+    nodes: dict[int, Node] = field(default_factory=dict)
+
+    def probability(self) -> Column:
+        """The whole pipeline as an expression, without the forest."""
+        if isinstance(self.model, LinearModel):
+            return self.model.probability()
+        return tree_probability(self.nodes, self.prep.columns())
 
     def score(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
-        return score(self.model, self.prep.transform(df), keep or [self.key, "label"])
+        """``keep`` columns plus ``prob``, the probability of the positive class."""
+        keep = keep or [self.key, "label"]
+        if isinstance(self.model, LinearModel) or self.nodes:
+            return df.select(*keep, self.probability().alias("prob"))
+        return self.score_by_model(df, keep)
+
+    def score_by_model(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        prob = F.get(vector_to_array("probability"), F.lit(1))
+        return self.model.transform(self.prep.transform(df)).select(*keep, prob.alias("prob"))
+
+
+def class_counts(folded: DataFrame) -> dict[tuple[int, int], int]:
+    """Rows by (fold, label)."""
+    return {(r["fold"], r["label"]): r["count"] for r in folded.groupBy("fold", "label").count().collect()}
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list:
+    """Results of independent jobs that are submitted together."""
+    carry = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=PARALLEL) as pool:
+        return list(pool.map(lambda job: job(), [carry(j) for j in jobs]))
+
+
+def weighted_rows(folded: DataFrame, counts: Mapping[tuple[int, int], int], left: int | None = None) -> tuple[DataFrame, int]:
+    """The rows outside a fold with their balanced class weight, and how many they are."""
+    per_class: dict[int, int] = {}
+    for (f, label), n in counts.items():
+        if f != left:
+            per_class[label] = per_class.get(label, 0) + n
+    rows = sum(per_class.values())
+    weight = F.create_map(*[F.lit(x) for y, n in per_class.items() for x in (y, rows / (len(per_class) * n))])
+    own = folded if left is None else folded.filter(F.col("fold") != left)
+    return own.withColumn("weight", weight[F.col("label")]), rows
+
+
+def fit_trees(
+    folded: DataFrame, prep: Prepared, counts: Mapping[tuple[int, int], int], left: int | None,
+    trees: int, seed: int, names: Sequence[str],
+) -> dict[str, Model]:
+    """The tree models of the rows outside fold ``left``, fitted side by side."""
+    own, rows = weighted_rows(folded, counts, left)
+    vectors = prep.transform(own).select("features", "label", "weight")
+    vectors = right_size(vectors, rows, ROWS_PER_TASK).persist()
+    try:
+        wanted = [(n, e) for n, e in build_trees(rows, len(prep.feature_names), trees, seed).items() if n in names]
+        fitted = side_by_side(folded.sparkSession, [lambda e=e: e.fit(vectors) for _, e in wanted])
+        return dict(zip([n for n, _ in wanted], fitted))
+    finally:
+        vectors.unpersist()
+
+
+def as_fitted(name: str, prep: Prepared, model: LinearModel | Model, key: str, spark: SparkSession) -> Fitted:
+    nodes = one_tree(export_nodes(model, spark)) if isinstance(model, DecisionTreeClassificationModel) else {}
+    return Fitted(name, prep, model, key, nodes)
+
+
+def _wanted(names: Sequence[str] | None) -> list[str]:
+    return [n for n in (LOGISTIC, TREE, FOREST) if names is None or n in names]
 
 
 def fit_models(
     train: DataFrame, spec: TrackSpec, trees: int = FOREST_TREES, seed: int = SEED,
     names: Sequence[str] | None = None,
 ) -> dict[str, Fitted]:
-    """Fit preprocessing and models on the same training rows."""
-    prep = Preprocessor(spec).fit(train)
-    weighted = with_weights(train)
-    n_train = weighted.count()
-    vectors = prep.transform(weighted).select("features", "label", "weight")
-    vectors = right_size(vectors, n_train).persist()
+    """Fit preparation and models on the same training rows."""
+    wanted = _wanted(names)
+    rows = train.select(spec.key, "label", *map(quoted, spec.features), F.lit(0).alias("fold")).persist()
     try:
-        estimators = build_models(n_train, trees, seed)
-        return {
-            n: Fitted(n, prep, e.fit(vectors), spec.key)
-            for n, e in estimators.items()
-            if names is None or n in names
-        }
+        prep, counts = prepare(rows, spec), class_counts(rows)
+        models: dict[str, Any] = {}
+        if LOGISTIC in wanted:
+            models[LOGISTIC] = fit_logistic(rows, {None: prep}, counts)[None]
+        if set(wanted) - {LOGISTIC}:
+            models |= fit_trees(rows, prep, counts, None, trees, seed, wanted)
     finally:
-        vectors.unpersist()
+        rows.unpersist()
+    return {n: as_fitted(n, prep, models[n], spec.key, train.sparkSession) for n in wanted}
+
+
+def fold_scores(
+    folded: DataFrame, spec: TrackSpec, preps: Mapping[int | None, Prepared], linear: Mapping[int | None, LinearModel],
+    counts: Mapping[tuple[int, int], int], left: int, trees: int, seed: int, names: Sequence[str],
+) -> DataFrame:
+    """(model, fold, label, prob): the rows of a fold scored by models that have not seen it."""
+    models: dict[str, Any] = {LOGISTIC: linear[left]} if LOGISTIC in names else {}
+    if set(names) - {LOGISTIC}:
+        models |= fit_trees(folded, preps[left], counts, left, trees, seed, names)
+    held_out = folded.filter(F.col("fold") == left)
+    parts = [
+        as_fitted(n, preps[left], m, spec.key, folded.sparkSession).score(held_out, ["label"])
+        .select(F.lit(n).alias("model"), F.lit(left).alias("fold"), "label", "prob")
+        for n, m in models.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cross_validate(
     train: DataFrame, spec: TrackSpec, folds: int = FOLDS, trees: int = FOREST_TREES,
     seed: int = SEED, names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """(model, fold, average_precision); preprocessing is refitted in every fold."""
+    """(model, fold, average_precision); every fold has its own preparation.
+
+    The preparations are merges of one set of statistics, the logistic models of all folds are
+    fitted in the same passes, and the tree models of several folds side by side.
+    """
+    wanted, spark = _wanted(names), train.sparkSession
     folded = stratified_folds(train, "label", spec.key, folds, seed).persist()
     try:
-        parts = []
-        for f in range(folds):
-            fitted = fit_models(
-                folded.filter(F.col("fold") != f), spec, trees, seed, names
-            )
-            held_out = folded.filter(F.col("fold") == f)
-            parts += [
-                m.score(held_out, ["label"]).select(
-                    F.lit(n).alias("model"), F.lit(f).alias("fold"), "label", "prob"
-                )
-                for n, m in fitted.items()
-            ]
+        preps, counts = prepare_folds(folded, spec, folds, range(folds)), class_counts(folded)
+        linear = fit_logistic(folded, preps, counts) if LOGISTIC in wanted else {}
+        parts = side_by_side(spark, [
+            lambda f=f: fold_scores(folded, spec, preps, linear, counts, f, trees, seed, wanted) for f in range(folds)
+        ])
         scores = reduce(DataFrame.unionByName, parts).persist()
         rows = average_precision(scores, ["model", "fold"]).collect()
         scores.unpersist()
     finally:
         folded.unpersist()
     return local_frame(
-        train.sparkSession,
-        [(r["model"], r["fold"], r["pr_auc"]) for r in rows],
+        spark, [(r["model"], r["fold"], r["pr_auc"]) for r in rows],
         "model string, fold int, average_precision double",
     )
 
@@ -224,39 +317,86 @@ def score_models(fitted: dict[str, Fitted], test: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _linear_json(models: Mapping[int | None, LinearModel]) -> str:
+    return json.dumps([
+        [left, list(m.weights), m.intercept, m.objective, m.gradient, m.gap, m.steps] for left, m in models.items()
+    ])
+
+
+def _linear_from(text: str, preps: Mapping[int | None, Prepared]) -> dict[int | None, LinearModel]:
+    return {
+        left: LinearModel(preps[left], np.array(w), *rest) for left, w, *rest in json.loads(text)
+    }
+
+
 def run_track(
     features: DataFrame, spec: TrackSpec, trees: int = FOREST_TREES, folds: int = FOLDS,
-    repeats: int = REPEATS, seed: int = SEED, names: Sequence[str] | None = None,
+    repeats: int = REPEATS, seed: int = SEED, names: Sequence[str] | None = None, folder: str | None = None,
 ) -> dict[str, DataFrame]:
     """Split, cross-validate, fit, compare, sweep thresholds and interpret one track.
 
+    Every split, fold, model and table is a step below ``folder`` (by default a new one in the
+    shared scratch space). A run that stopped continues when it is called again with the same
+    folder, rows and settings; finished steps are read, not made again.
+
     Returns result-sized frames: cv, comparison, best, thresholds, permutation, sizes,
     and coefficients and importance of the logistic and forest models.
     """
-    spark = features.sparkSession
-    train, test = stratified_split(features, "label", spec.key, seed=seed)
-    train, test = train.persist(), test.persist()
-    try:
-        n_train, n_test = train.count(), test.count()
-        cv = cv_summary(cross_validate(train, spec, folds, trees, seed, names))
-        fitted = fit_models(train, spec, trees, seed, names)
-        scores = score_models(fitted, test).persist()
-        evaluated = small(evaluate(scores))
-        best = best_model(evaluated).first()["model"]
-        sweep = small(threshold_sweep(scores.filter(F.col("model") == best)))
-        scores.unpersist()
-        permutation = permutation_importance(fitted[best], test, spec.features, repeats, seed)
-    finally:
-        train.unpersist()
-        test.unpersist()
-    leaky = F.lit(spec.leaky)
+    spark, wanted = features.sparkSession, _wanted(names)
+    seen = features.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*map(quoted, features.columns)).cast("decimal(38,0)")).alias("x")
+    ).first()
+    run = Run(spark, folder or scratch_path(spark, spec.name), {
+        "track": spec.name, "features": spec.features, "trees": trees, "folds": folds, "repeats": repeats,
+        "seed": seed, "models": wanted, "rows": seen["n"], "content": str(seen["x"]),
+    })
+    rows = run.table("rows", lambda: with_test_flag(features, "label", spec.key, seed=seed))
+    folded = run.table("folds", lambda: stratified_folds(
+        rows.filter(~F.col("is_test")).drop("is_test"), "label", spec.key, folds, seed
+    ))
+    test, counts = rows.filter("is_test").drop("is_test"), class_counts(folded)
+    preps = {
+        None if k == "all" else int(k): Prepared.from_json(p) for k, p in json.loads(run.value("preparation", lambda: json.dumps(
+            {"all" if k is None else str(k): p.to_json() for k, p in prepare_folds(folded, spec, folds).items()}
+        ))).items()
+    }
+    linear: dict[int | None, LinearModel] = {}
+    if LOGISTIC in wanted:
+        linear = _linear_from(run.value("logistic", lambda: _linear_json(fit_logistic(folded, preps, counts))), preps)
+    jobs = [
+        lambda f=f: run.table(f"scores-fold-{f}", lambda: fold_scores(
+            folded, spec, preps, linear, counts, f, trees, seed, wanted
+        )) for f in range(folds)
+    ]
+    loaders = {TREE: DecisionTreeClassificationModel.load, FOREST: RandomForestClassificationModel.load}
+    tree_names = [n for n in wanted if n in loaders]
+    jobs += [
+        lambda n=n: run.model(
+            f"model-{n.split()[-1].lower()}",
+            lambda: fit_trees(folded, preps[None], counts, None, trees, seed, [n])[n], loaders[n],
+        ) for n in tree_names
+    ]
+    done = side_by_side(spark, jobs)
+    areas = run.table("areas", lambda: average_precision(reduce(DataFrame.unionByName, done[:folds]), ["model", "fold"]))
+    cv = cv_summary(areas.withColumnRenamed("pr_auc", "average_precision"))
+    models = ({LOGISTIC: linear[None]} if LOGISTIC in wanted else {}) | dict(zip(tree_names, done[folds:]))
+    fitted = {n: as_fitted(n, preps[None], models[n], spec.key, spark) for n in wanted}
+    scores = run.table("scores-test", lambda: score_models(fitted, test))
+    evaluated = run.table("evaluation", lambda: evaluate(scores))
+    best = best_model(evaluated).first()["model"]
+    sweep = run.table("thresholds", lambda: threshold_sweep(scores.filter(F.col("model") == best)))
+    permutation = run.table(
+        "permutation", lambda: permutation_importance(fitted[best], test, spec.features, repeats, seed)
+    )
+    n_train = sum(counts.values())
     out = {
         "cv": cv,
-        "comparison": comparison(evaluated).withColumn("leaky", leaky),
+        "comparison": comparison(evaluated).withColumn("leaky", F.lit(spec.leaky)),
         "best": local_frame(spark, [(best,)], "model string"),
         "thresholds": sweep.orderBy("threshold"),
-        "permutation": permutation,
-        "sizes": local_frame(spark, [(n_train, n_test)], "n_train long, n_test long"),
+        "permutation": permutation.orderBy(F.desc("importance_mean"), "feature"),
+        "sizes": local_frame(spark, [(n_train, seen["n"] - n_train)], "n_train long, n_test long"),
+        "steps": local_frame(spark, [(x,) for x in run.made], "made string"),
     }
     if LOGISTIC in fitted:
         out["coefficients"] = coefficients(fitted[LOGISTIC], spark)
