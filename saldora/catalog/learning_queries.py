@@ -16,9 +16,11 @@ from saldora.catalog.roles_sql import A, B, key_hash, r, with_roles
 from saldora.functions.expr import round_to
 from saldora.operators import evaluate as ev
 from saldora.operators import features as ft
+from saldora.operators import logistic, rules
 from saldora.operators import models as md
+from saldora.operators.folds import prepare_folds
 from saldora.operators.relational import mode_of
-from saldora.session import scratch_path
+from saldora.session import local_frame, scratch_path
 
 BOOK = Book()
 add = BOOK.add
@@ -139,6 +141,46 @@ add("f8_stratified_folds",
     lambda s, d: ft.stratified_folds(a_split(s, d)[0], "label", "customer_id").select("customer_id", "label", "fold"),
     with_roles(A_SPLIT, "SELECT customer_id, label, (ntile(5) OVER (PARTITION BY label ORDER BY h, customer_id) - 1)::INT AS fold FROM train"))
 add("f9_cross_validation", lambda s, d: md.cv_summary(md.cross_validate(a_split(s, d)[0], ft.TRACK_A)))
+FOLDED = ", fo AS (SELECT *, (ntile(5) OVER (PARTITION BY label ORDER BY h, {key}) - 1)::INT AS fold FROM train)"
+
+
+def _fold_preparation(split, spec):
+    """(left_out, column, median, mean, deviation, mode, levels) learnt without each fold; -1: all."""
+    def run(s, d):
+        folded = ft.stratified_folds(split(s, d)[0], "label", spec.key).persist()
+        try:
+            found = prepare_folds(folded, spec, md.FOLDS)
+        finally:
+            folded.unpersist()
+        rows = []
+        for left, p in found.items():
+            out = -1 if left is None else left
+            rows += [(out, c, p.medians[c], *p.scales[c], None, None) for c in p.numeric]
+            rows += [(out, c, None, None, None, p.modes[c], len(p.levels[c])) for c in p.categorical]
+        frame = local_frame(s, rows, "left_out int, column string, median double, mean double, deviation double, mode string, levels long")
+        # means of values with a few digits lie on ties of any rounding; both sides step off them
+        return _r(frame.withColumn("mean", F.col("mean") + 1.7e-8), 6, "median", "mean", "deviation")
+    return run
+
+
+def _fold_preparation_sql(split, spec):
+    num = [*spec.numeric, *spec.binary]
+    value = lambda c: f"{c}::INT::DOUBLE" if c.endswith("flag") else f"{c}::DOUBLE"
+    numbers = " UNION ALL ".join(f"SELECT fold, '{c}' AS c, {value(c)} AS v FROM fo" for c in num)
+    levels = " UNION ALL ".join(f"SELECT fold, '{c}' AS c, {c} AS v FROM fo" for c in spec.categorical)
+    return with_roles(split + FOLDED.format(key=spec.key) + f"""
+  , sets AS (SELECT unnest(range(-1, 5))::INT AS left_out),
+  nu AS (SELECT left_out, c, v FROM sets JOIN ({numbers}) ON fold <> left_out),
+  me AS (SELECT left_out, c, median(v) AS m FROM nu GROUP BY ALL),
+  st AS (SELECT left_out, c, m, avg(coalesce(v, m)) AS a, stddev_pop(coalesce(v, m)) AS s FROM nu JOIN me USING (left_out, c) GROUP BY ALL),
+  ca AS (SELECT left_out, c, v, count(*) AS n FROM sets JOIN ({levels}) ON fold <> left_out WHERE v IS NOT NULL GROUP BY ALL)""", f"""
+  SELECT left_out, c AS "column", {r('m', 6)} AS median, {r('a + 1.7e-8', 6)} AS mean, {r('CASE WHEN s = 0 THEN 1 ELSE s END', 6)} AS deviation,
+    NULL::VARCHAR AS mode, NULL::BIGINT AS levels FROM st
+  UNION ALL SELECT left_out, c, NULL, NULL, NULL, first(v ORDER BY n DESC, v), count(*) FROM ca GROUP BY left_out, c""")
+
+
+add("f9_fold_preparation", _fold_preparation(a_split, ft.TRACK_A), _fold_preparation_sql(A_SPLIT, ft.TRACK_A))
+add("f9_fold_preparation_campaign", _fold_preparation(b_split, ft.TRACK_B), _fold_preparation_sql(B_SPLIT, ft.TRACK_B))
 add("f10_class_weights", lambda s, d: _r(ft.class_weights(a_split(s, d)[0]), 8, "weight"),
     with_roles(A_SPLIT, f"SELECT label, count(*) AS n, {r('(SELECT count(*) FROM train)::DOUBLE / ((SELECT count(DISTINCT label) FROM train) * count(*))', 8)} AS weight FROM train GROUP BY 1"))
 
@@ -166,6 +208,82 @@ add("f13_random_forest", _quality(md.FOREST))
 add("f13_random_forest_campaign", _quality(md.FOREST, "b"))
 
 
+def _names_sql(spec):
+    """Feature names in vector order, as a relation n (g, l, feature) over train."""
+    num, cat = [*spec.numeric, *spec.binary], spec.categorical
+    fixed = ", ".join(f"({i}, '', '{c}')" for i, c in enumerate(num))
+    return f", n AS (SELECT * FROM (VALUES {fixed}) t(g, l, feature) " + " ".join(
+        f"UNION ALL SELECT {len(num) + j}, {c}, '{c}_' || {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c}" for j, c in enumerate(cat)) + ")"
+
+
+def _weighted_train(s, d, track):
+    """Training rows with fold 0 and their class weights."""
+    train = (a_split if track == "a" else b_split)(s, d)[0].withColumn("fold", F.lit(0))
+    return md.weighted_rows(train, md.class_counts(train))[0]
+
+
+def _optimality(track):
+    """Every component of the gradient at the fitted coefficients, which is nought, and whether the
+    bound on what the objective lacks is below a millionth of it."""
+    def run(s, d):
+        fitted, _ = _fitted(s, d, [md.LOGISTIC], track)
+        found = logistic.certificate(fitted[md.LOGISTIC].model, _weighted_train(s, d, track))
+        return found.select(
+            "feature", round_to(F.abs("gradient"), 5).alias("gradient"), (F.col("gap") < 1e-6 * F.col("objective")).alias("closed"))
+    return run
+
+
+for _t, _split, _spec in (("a", A_SPLIT, ft.TRACK_A), ("b", B_SPLIT, ft.TRACK_B)):
+    add(f"f11_optimality_{_t}", _optimality(_t), with_roles(_split + _names_sql(_spec), """
+  SELECT feature, 0.0::DOUBLE AS gradient, true AS closed FROM n UNION ALL SELECT 'intercept', 0.0, true"""))
+
+
+def _replay(track):
+    """Every node of the fitted tree against the training rows that reach it."""
+    def run(s, d):
+        tree = _fitted(s, d, [md.TREE], track)[0][md.TREE]
+        rows = _weighted_train(s, d, track)
+        found = rules.replay_splits(rows, rules.export_nodes(tree.model, s), tree.prep.columns())
+        differs = lambda a, b: F.count_if(F.abs(F.col(a) - F.col(b)) > 1e-6)
+        root = F.max(F.when(F.col("id") == 0, F.col("rows_again")))
+        leaves = F.sum(F.when(F.col("gain_again") < 0, F.col("rows_again")).otherwise(0))
+        return found.agg(
+            root.alias("rows"), leaves.alias("rows_in_leaves"), F.count_if(F.expr("rows != rows_again")).alias("other_rows"),
+            F.count_if(F.expr("weights_gap > 1e-6 * rows")).alias("other_weights"), differs("impurity", "impurity_again").alias("other_impurity"),
+            differs("gain", "gain_again").alias("other_gain"))
+    return run
+
+
+for _t, _split in (("a", A_SPLIT), ("b", B_SPLIT)):
+    add(f"f12_split_replay_{_t}", _replay(_t), with_roles(_split, """
+  SELECT count(*) AS rows, count(*) AS rows_in_leaves, 0::BIGINT AS other_rows, 0::BIGINT AS other_weights,
+    0::BIGINT AS other_impurity, 0::BIGINT AS other_gain FROM train"""))
+
+
+def _compiled(name, track):
+    """Every test row scored by the compiled pipeline and by the model or the vector of features."""
+    def run(s, d):
+        fitted, test = _fitted(s, d, [name], track)
+        one = fitted[name]
+        both = one.prep.transform(test).withColumn("prob", one.probability())
+        if name == md.LOGISTIC:
+            weights = F.array(*[F.lit(float(w)) for w in one.model.weights])
+            margin = F.aggregate(
+                F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w), F.lit(float(one.model.intercept)), lambda a, x: a + x)
+            again = 1.0 / (1.0 + F.exp(-margin))
+        else:
+            both = one.model.transform(both)
+            again = F.get(vector_to_array("probability"), F.lit(1))
+        return both.select(one.key, "label", (F.abs(F.col("prob") - again) < 1e-12).alias("agrees"))
+    return run
+
+
+add("f14_compiled_tree", _compiled(md.TREE, "a"), with_roles(A_SPLIT, "SELECT customer_id, label, true AS agrees FROM test"))
+add("f14_compiled_tree_campaign", _compiled(md.TREE, "b"), with_roles(B_SPLIT, "SELECT observation_id, label, true AS agrees FROM test"))
+add("f15_compiled_pipeline", _compiled(md.LOGISTIC, "a"), with_roles(A_SPLIT, "SELECT customer_id, label, true AS agrees FROM test"))
+add("f15_compiled_pipeline_campaign", _compiled(md.LOGISTIC, "b"), with_roles(B_SPLIT, "SELECT observation_id, label, true AS agrees FROM test"))
+
+
 def f14(s, d):
     fitted, test = _fitted(s, d, [md.TREE])
     return fitted[md.TREE].score(test)
@@ -252,6 +370,19 @@ def e12(s, d):
     return md.impurity_importance(_fitted(s, d, [md.FOREST])[0][md.FOREST], s)
 
 
+def e12_replay(s, d):
+    """Importances recomputed from the gains of all splits, against the model's."""
+    forest = _fitted(s, d, [md.FOREST])[0][md.FOREST]
+    again = rules.importance_of(rules.export_nodes(forest.model, s))
+    kept = list(enumerate(zip(forest.prep.feature_names, forest.model.featureImportances.toArray())))
+    have = local_frame(s, [(i, n, float(x)) for i, (n, x) in kept], "feature int, name string, importance double")
+    both = have.join(F.broadcast(again.withColumnRenamed("importance", "again")), "feature", "left")
+    return both.select(F.col("name").alias("feature"), (F.abs(F.coalesce("again", F.lit(0.0)) - F.col("importance")) < 1e-9).alias("agrees"))
+
+
+add("e12_importance_replay", e12_replay, with_roles(A_SPLIT + _names_sql(ft.TRACK_A), "SELECT feature, true AS agrees FROM n"))
+
+
 def e13(s, d):
     fitted, test = _fitted(s, d, [md.FOREST])
     return md.permutation_importance(fitted[md.FOREST], test, ft.TRACK_A.features)

@@ -106,7 +106,25 @@ add("t_2_cramers_v", lambda s, d: _chi(track_b(s, d), "education", "y").select("
     f"SELECT cramers_v, n FROM ({_chi_sql(B, 'education', 'y', 'b')})")
 add("t_3_mann_whitney_vintage", lambda s, d: _u(track_a(s, d), "vintage", "churn", 1).select("u", "n1", "n2"),
     f"SELECT u, n1, n2 FROM ({_u_sql(A, 'vintage', 'churn = 1', 'a')})")
-add("t_4_mann_whitney_p", lambda s, d: st.mann_whitney(track_a(s, d), "vintage", "churn", 1).select("z", "p"))
+def _erfc_sql(x):
+    """The series and the continued fraction of the expression, as folds over 60 terms."""
+    terms = "CAST(list_reverse(range(1, 61)) AS DOUBLE[])"
+    return f"""CASE WHEN {x} < 2 THEN
+      1 - 2 / sqrt(pi()) * {x} * exp(-({x}) * ({x})) * list_reduce(list_concat([1.0::DOUBLE], {terms}), lambda t, n: 1 + 2 * ({x}) * ({x}) / (2 * n + 1) * t)
+      ELSE exp(-({x}) * ({x})) / (sqrt(pi()) * list_reduce(list_concat([({x})::DOUBLE], {terms}), lambda t, n: ({x}) + (n / 2) / t)) END"""
+
+
+def _chi_p_sql(s, dof):
+    even = f"list_sum(list_transform(range(0, {dof} // 2), lambda i: exp(i * ln({s} / 2) - lgamma(i + 1) - {s} / 2)))"
+    odd = f"""({_erfc_sql(f'sqrt({s} / 2)')}) + coalesce(list_sum(list_transform(range(1, ({dof} - 1) // 2 + 1),
+      lambda i: exp((i - 0.5) * ln({s} / 2) - lgamma(i + 0.5) - {s} / 2))), 0)"""
+    return f"least(1, CASE WHEN {dof} % 2 = 0 THEN {even} ELSE {odd} END)"
+
+
+_U_P_SQL = f"least(1, {_erfc_sql('greatest(z, 0) / sqrt(2)')})"
+add("t_4_mann_whitney_p",
+    lambda s, d: _rounded(st.mann_whitney(track_a(s, d), "vintage", "churn", 1).select("z", "p"), z=6, p=6),
+    f"SELECT z, {r(_U_P_SQL, 6)} AS p FROM ({_u_sql(A, 'vintage', 'churn = 1', 'a')})")
 add("t_5_rank_biserial", lambda s, d: _u(track_b(s, d), "euribor3m", "y", "yes").select("rank_biserial"),
     f"SELECT rank_biserial FROM ({_u_sql(B, 'round(euribor3m * 1000)', chr(121) + ' = ' + chr(39) + 'yes' + chr(39), 'b')})")
 add("t_6_median_difference",
@@ -148,6 +166,36 @@ def t_9(s, d):
 
 
 add("t_9_test_summary", t_9)
+
+
+def t_9_p(s, d):
+    """Statistic, effect size and p of all nine analyses."""
+    a, ap, b, b2 = track_a(s, d), profile(s, d), track_b(s, d), track_b_secondary(s, d)
+    chi = {
+        "T2": st.chi_square(a, age_group(), "churn"), "T3": st.chi_square(a, "customer_nw_category", "churn"),
+        "T4": st.chi_square(ap, recency_band(), "churn"), "T5": st.chi_square(b, "previous_contact_flag", "y"),
+        "T6": st.chi_square(b, "poutcome", "y"), "T7": st.chi_square(b, "job", "y"), "T8": st.chi_square(b, age_band(), "y"),
+    }
+    rank = {"T1": st.mann_whitney(a, "current_balance", "churn", 1), "T9": st.mann_whitney(b2, "balance", "y", "yes")}
+    rows = [st.chi_row(n, t) for n, t in chi.items()] + [st.rank_row(n, t) for n, t in rank.items()]
+    return _rounded(st.test_summary(rows).select("analysis", "statistic", "effect_size", "p", "effect_label"), statistic=4, effect_size=6, p=6)
+
+
+def _t_9_p_sql():
+    chi = {
+        "T2": _chi_sql(A, AGE_GROUP_SQL, "churn", "a"), "T3": _chi_sql(A, "customer_nw_category", "churn", "a"),
+        "T4": _chi_sql(A, RECENCY_SQL, "churn", "a"), "T5": _chi_sql(B, "previous_contact_flag", "y", "b", yates=True),
+        "T6": _chi_sql(B, "poutcome", "y", "b"), "T7": _chi_sql(B, "job", "y", "b"), "T8": _chi_sql(B, AGE_BAND_SQL, "y", "b"),
+    }
+    rank = {"T1": _u_sql(A, "current_balance", "churn = 1", "a"), "T9": _u_sql(B2, "balance", "y = 'yes'", "b2")}
+    parts = [f"SELECT '{n}' AS analysis, statistic, cramers_v AS e, {_chi_p_sql('statistic', 'dof')} AS p FROM ({q})" for n, q in chi.items()]
+    parts += [f"SELECT '{n}', u, rank_biserial, {_U_P_SQL} FROM ({q})" for n, q in rank.items()]
+    return f"""SELECT analysis, {r('statistic', 4)} AS statistic, {r('e', 6)} AS effect_size, {r('p', 6)} AS p,
+      CASE WHEN abs(e) < 0.1 THEN 'negligible' WHEN abs(e) < 0.3 THEN 'small' WHEN abs(e) < 0.5 THEN 'moderate' ELSE 'large' END AS effect_label
+      FROM ({' UNION ALL '.join(parts)})"""
+
+
+add("t_9_p_values", t_9_p, _t_9_p_sql())
 add("t_10_effect_label",
     lambda s, d: st.chi_square(track_b(s, d), "poutcome", "y").select(st.effect_label("cramers_v").alias("effect_label")),
     f"""SELECT CASE WHEN cramers_v < 0.1 THEN 'negligible' WHEN cramers_v < 0.3 THEN 'small'

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -151,3 +152,56 @@ def key_hash(*keys: Column | str, seed: int = 42) -> Column:
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[_col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+# ------------------------------------------------------------------ tail probabilities
+
+# Terms of the series and of the continued fraction of erfc; either reaches double accuracy on
+# its side of ``_ERFC_CUT``.
+ERFC_TERMS = 60
+_ERFC_CUT = 2.0
+_ROOT_PI = math.sqrt(math.pi)
+
+
+def erfc(x: Column) -> Column:
+    """Complementary error function for x >= 0.
+
+    Below the cut one minus Kummer's series, innermost bracket first; above it the continued
+    fraction, innermost fraction first. Both are folds over a fixed number of terms.
+    """
+    down = F.sequence(F.lit(ERFC_TERMS), F.lit(1), F.lit(-1))
+    square = F.least(x, F.lit(_ERFC_CUT)) * F.least(x, F.lit(_ERFC_CUT))
+    series = F.aggregate(down, F.lit(1.0), lambda inner, n: F.lit(1.0) + F.lit(2.0) * square / (F.lit(2.0) * n + 1.0) * inner)
+    low = F.lit(1.0) - F.lit(2.0 / _ROOT_PI) * x * F.exp(-x * x) * series
+    wide = F.greatest(x, F.lit(_ERFC_CUT))
+    fraction = F.aggregate(down, wide, lambda inner, n: wide + (n / F.lit(2.0)) / inner)
+    high = F.exp(-x * x) / (F.lit(_ROOT_PI) * fraction)
+    return F.when(x < _ERFC_CUT, low).otherwise(high)
+
+
+def normal_two_sided(z: Column) -> Column:
+    """Two-sided p-value of a standard normal statistic, at most 1."""
+    tail = erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
+    return F.when(z.isNotNull(), F.when(z <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), tail)))
+
+
+def chi2_tail(stat: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution for whole degrees of freedom.
+
+    With h half the statistic, an even number gives exp(-h) times the sum of h^i / i! for i
+    below half of it; an odd one erfc(sqrt(h)) and the same sum over halves. The sum is taken
+    relative to its last term, whose logarithm is exact where the term itself would overflow.
+    """
+    h = stat / F.lit(2.0)
+    odd = dof % 2 == 1
+    terms = F.floor(dof / 2).cast("int")  # of the sum
+    # last term h^a / gamma(a + 1) with a = terms - 1, and terms - 1/2 for an odd number
+    shift = F.when(odd, 0.5).otherwise(0.0)
+    steps = F.when(terms > 1, F.sequence(F.lit(1), F.greatest(terms - 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    # bracket of ratios of a term to the next one, innermost first: 1 + a/h (1 + (a-1)/h (...))
+    ratios = F.aggregate(steps, F.lit(1.0), lambda inner, i: F.lit(1.0) + (i + shift) / h * inner)
+    start = F.when(odd, F.lit(0.5) * F.log(h) - F.lit(math.log(_ROOT_PI / 2))).otherwise(F.lit(0.0))
+    last = F.aggregate(steps, start, lambda have, i: have + F.log(h) - F.log(i + shift))
+    rest = F.when(terms > 0, F.exp(last - h) * ratios).otherwise(0.0)
+    tail = rest + F.when(odd, erfc(F.sqrt(h))).otherwise(0.0)
+    return F.when(stat.isNotNull() & dof.isNotNull(), F.when((dof <= 0) | (stat <= 0), F.lit(1.0)).otherwise(F.least(F.lit(1.0), tail)))

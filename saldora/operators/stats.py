@@ -1,7 +1,7 @@
 """Hypothesis tests as aggregations.
 
 A test reduces the rows to a contingency table or to distinct values with counts; the
-p-values come from closed forms evaluated on the one result row.
+p-values are column expressions on the one result row.
 """
 
 from __future__ import annotations
@@ -11,11 +11,10 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from saldora.functions.expr import chi2_tail, normal_two_sided
 from saldora.operators.rank import (
     group_median, rank_edges, running_sums, values_at_ranks,
 )
@@ -41,22 +40,6 @@ def chi2_sf(x: float, dof: int) -> float:
     return min(1.0, math.erfc(math.sqrt(h)) + sum(math.exp(t - h) for t in terms))
 
 
-@F.pandas_udf(T.DoubleType())
-def _chi2_p(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if pd.isna(s) else chi2_sf(float(s), int(d)) for s, d in zip(stat, dof)],
-        dtype="float64",
-    )
-
-
-@F.pandas_udf(T.DoubleType())
-def _normal_p(z: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if pd.isna(v) else min(1.0, math.erfc(float(v) / math.sqrt(2.0))) for v in z],
-        dtype="float64",
-    )
-
-
 # ------------------------------------------------------------------ chi-square
 
 
@@ -117,7 +100,7 @@ def chi_square(
 ) -> DataFrame:
     """(statistic, dof, n, cramers_v, p): independence of two categorical columns."""
     return chi_square_cells(contingency(df, a, b), correction).withColumn(
-        "p", _chi2_p("statistic", "dof")
+        "p", chi2_tail(F.col("statistic"), F.col("dof"))
     )
 
 
@@ -156,7 +139,7 @@ def mann_whitney(df: DataFrame, value: str, group: str | Column, positive) -> Da
         "n2",
         (F.lit(1.0) - F.try_divide(F.col("u") * 2.0, a * b)).alias("rank_biserial"),
         F.try_divide(larger - a * b / 2.0 - 0.5, F.sqrt(variance)).alias("z"),
-    ).withColumn("p", _normal_p("z"))
+    ).withColumn("p", normal_two_sided(F.col("z")))
 
 
 # ------------------------------------------------------------ medians, bootstrap

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import functions as F
 
+from saldora.functions.expr import chi2_tail, erfc, normal_two_sided
 from saldora.operators import stats as st
 from saldora.session import local_frame
 
@@ -46,7 +50,7 @@ def test_chi_square_with_an_empty_cell(spark):
 
 def test_chi_square_of_one_row(spark):
     got = st.chi_square_cells(local_frame(spark, [("a", "x", 3), ("a", "y", 4)], "a string, b string, n long"))
-    row = got.withColumn("p", st._chi2_p("statistic", "dof")).first()
+    row = got.withColumn("p", chi2_tail(F.col("statistic"), F.col("dof"))).first()
     assert (row["statistic"], row["dof"], row["p"], row["cramers_v"]) == (0.0, 0, 1.0, None)
 
 
@@ -81,3 +85,27 @@ def test_effect_labels(spark):
     df = local_frame(spark, [(0.05,), (-0.2,), (0.4,), (-0.8,), (None,)], "x double")
     got = [r[0] for r in df.select(st.effect_label("x")).collect()]
     assert got == ["negligible", "small", "moderate", "large", None]
+
+
+def test_tail_probabilities(spark):
+    """Against the standard library and the sums over logarithms, from the middle far into the tails."""
+    xs = [0.0, 1e-9, 0.3, 1.0, 1.99, 2.0, 2.01, 3.5, 8.0, 20.0, 26.0]
+    rows = local_frame(spark, [(x,) for x in xs], "x double")
+    for r in rows.select("x", erfc(F.col("x")).alias("e"), normal_two_sided(F.col("x")).alias("p")).collect():
+        assert r["e"] == pytest.approx(math.erfc(r["x"]), rel=1e-11)
+        assert r["p"] == pytest.approx(math.erfc(r["x"] / math.sqrt(2)), rel=1e-11)
+    cases = [(s, d) for d in (0, 1, 2, 3, 4, 7, 10, 11, 60, 301) for s in (0.0, 0.5, 3.0, 12.0, 59.35, 327.0, 1400.0)]
+    rows = local_frame(spark, [*cases, (None, 3), (2.0, None)], "s double, d long")
+    out = rows.select("s", "d", chi2_tail(F.col("s"), F.col("d")).alias("p")).collect()
+    for r in out:
+        if r["s"] is None or r["d"] is None:
+            assert r["p"] is None
+        else:
+            assert r["p"] == pytest.approx(st.chi2_sf(r["s"], r["d"]), rel=1e-9, abs=1e-300)
+
+
+def test_p_values_need_no_python(spark):
+    df = local_frame(spark, [(i % 3, i % 2, float(i)) for i in range(50)], "a int, b int, v double")
+    for out in (st.chi_square(df, "a", "b"), st.mann_whitney(df, "v", "b", 1)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
