@@ -6,18 +6,20 @@ The shares become block quotas. A binary tree over the output shards splits the
 quotas: each node draws, without replacement, how many blocks of every source go left, so
 each shard gets exactly its capacity and every source exactly its quota.
 
-Within a source, documents are put in the order of a key hash; their words form one line,
-which is gone through again if the quota exceeds it. The line is cut into blocks, whose
-numbers are permuted (swap-or-not rounds, a bijection computed from the number alone); the
-shards take as many of the permuted blocks as the tree has dealt them, so blocks are
-disjoint. Positions on the line are
-sums inside hash ranges plus the sums of earlier ranges: a source with a third of all rows
-is spread over as many tasks as any other rows. Inside a shard pieces are ordered by another
-key hash, their ``place``; a shard's rows lie in several tasks, by ranges of places.
+Within a source, documents are put in the order of a hash of id and text; their words form one
+line, which is cut into blocks. A quota of several times the line takes the whole line as often
+as it fits; of the last pass it takes blocks in a permuted order of all the line's blocks
+(swap-or-not rounds, a bijection computed from the number alone) until the quota is full. The
+shards take as many of the blocks, in that order, as the tree has dealt them, so blocks are
+disjoint. Positions on the line are sums inside hash ranges plus the sums of earlier ranges: a
+source with a third of all rows is spread over as many tasks as any other rows. Inside a shard
+pieces are ordered by another hash, their ``place``; a shard's rows lie in several tasks, by
+ranges of places.
 
 Cases: a null text has size 0; sources are ordered by code point, a null source last and a
 source of its own. Sources without words take nothing. Repeated rows are separate documents
-on the line; which of two equal rows comes first does not matter. Empty tables give empty
+on the line; which of two equal rows comes first does not matter, and rows that share an id, or
+have none, are told apart by their texts. Empty tables give empty
 results. More than ``MAX_SOURCES`` sources raise an error: quotas are made on the driver.
 Only DataFrame operations touch rows.
 """
@@ -46,8 +48,6 @@ SLICES = 4  # bits of the place that deal a shard's rows to tasks
 MAX_SOURCES = 50_000
 SEED = 17
 _WORD = r"[^\x20\x09-\x0D]+"
-# beyond this variance a draw uses the normal limit of its distribution
-_NORMAL_VARIANCE = 1e6
 
 
 def word_count(text: str = "text") -> Column:
@@ -55,53 +55,51 @@ def word_count(text: str = "text") -> Column:
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], total: float, passes: float) -> list[float]:
-    """Shares of ``total`` by weight, none above ``passes`` times its size."""
-    out = [passes * s for s in sizes]
-    free = [i for i, s in enumerate(sizes) if s > 0]
-    while free:
-        spare = total - sum(out[i] for i in range(len(sizes)) if i not in set(free))
-        rate = spare / sum(weights[i] for i in free)
-        above = [i for i in free if rate * weights[i] > passes * sizes[i]]
-        if not above:
-            for i in free:
-                out[i] = rate * weights[i]
+    """Shares of ``total`` by weight, none above ``passes`` times its size.
+
+    Sources reach their bounds in the order of size to weight: one sweep finds those that do.
+    """
+    out = [0.0] * len(sizes)
+    order = sorted((i for i, s in enumerate(sizes) if s > 0), key=lambda i: sizes[i] / weights[i])
+    spare, weight = float(total), float(sum(weights[i] for i in order))
+    for k, i in enumerate(order):
+        if spare / weight * weights[i] <= passes * sizes[i]:
+            for j in order[k:]:
+                out[j] = spare / weight * weights[j]
             break
-        free = [i for i in free if i not in set(above)]
+        out[i] = float(passes * sizes[i])
+        spare, weight = spare - out[i], weight - weights[i]
     return out
 
 
 def hypergeometric(draw: random.Random, good: int, bad: int, n: int) -> int:
-    """How many of ``n`` draws without replacement are good: inversion from the mode outwards."""
+    """How many of ``n`` draws without replacement are good.
+
+    Rejection under the hat that every log-concave distribution has around its mode: a handful of
+    tries whatever the numbers, each accepted by the distribution's own probabilities.
+    """
     low, high = max(0, n - bad), min(n, good)
     if low == high:
         return low
     total = good + bad
-    mean = n * good / total
-    variance = mean * bad / total * (total - n) / max(1, total - 1)
-    if variance > _NORMAL_VARIANCE:
-        return min(high, max(low, round(draw.gauss(mean, math.sqrt(variance)))))
+    mode = min(high, max(low, (n + 1) * (good + 1) // (total + 2)))
 
-    def log_choose(a: int, b: int) -> float:
-        return math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+    def log_ways(k: int) -> float:
+        return -sum(map(math.lgamma, (k + 1, good - k + 1, n - k + 1, bad - n + k + 1)))
 
-    mode = min(high, max(low, (n + 1) * (good + 1) // (total + 2)))
-    p_mode = math.exp(log_choose(good, mode) + log_choose(bad, n - mode) - log_choose(total, n))
-    left = draw.random() - p_mode
-    up, down, p_up, p_down = mode, mode, p_mode, p_mode
-    while left > 0 and (up < high or down > low):
-        if up < high:
-            p_up *= (good - up) * (n - up) / ((up + 1) * (bad - n + up + 1))
-            up += 1
-            left -= p_up
-            if left <= 0:
-                return up
-        if down > low:
-            p_down *= down * (bad - n + down) / ((good - down + 1) * (n - down + 1))
-            down -= 1
-            left -= p_down
-            if left <= 0:
-                return down
-    return mode
+    at_mode = log_ways(mode)
+    all_ways = math.lgamma(total + 1) - sum(map(math.lgamma, (good + 1, bad + 1, n + 1, total - n + 1)))
+    peak = min(1.0, math.exp(at_mode - all_ways))
+    flat = 1 + peak / 2
+    while True:
+        if draw.random() * (1 + flat) <= flat:
+            away, accept = draw.random() * flat / peak, 1.0
+        else:
+            extra = draw.expovariate(1.0)
+            away, accept = (flat + extra) / peak, math.exp(-extra)
+        k = mode + (1 if draw.random() < 0.5 else -1) * math.floor(away + 0.5)
+        if low <= k <= high and draw.random() * accept <= math.exp(log_ways(k) - at_mode):
+            return k
 
 
 def split_quotas(quotas: Sequence[int], shards: int, seed: int = SEED) -> list[list[int]]:
@@ -140,8 +138,8 @@ def permuted(block: str, blocks: str, seed: int = SEED) -> str:
 def _plan_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """A few driver-made rows as a relation, by way of a JSON literal."""
     kind = (
-        "array<struct<source:string,source_size:bigint,target:double,quota:bigint,"
-        "blocks:bigint,ends:array<bigint>>>"
+        "array<struct<source:string,source_size:bigint,target:double,full:bigint,rest:bigint,"
+        "blocks:bigint,short:bigint,short_at:bigint,ends:array<bigint>>>"
     )
     frame = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
     return frame
@@ -151,11 +149,14 @@ def source_plan(
     sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     passes: int = PASSES, shards: int = SHARDS, seed: int = SEED,
 ) -> DataFrame:
-    """One row per source: source_size, target, quota (words), its blocks and, for each shard,
-    the end of its share of the permuted blocks."""
+    """One row per source: source_size, target, how often its whole line is taken (full) and how
+    many words of the last pass (rest), the line's blocks, the words of its last block and that
+    one's place in the permuted order, and for each shard the end of its share of the blocks."""
     spark = sizes.sparkSession
     found = (
         sizes.groupBy("source").agg(F.sum("size").alias("size"))
+        .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK_WORDS)))
+        .withColumn("short_at", F.when(F.col("blocks") > 0, F.expr(permuted("(blocks - 1)", "blocks", seed))).otherwise(0))
         .orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     )
     if len(found) > MAX_SOURCES:
@@ -163,13 +164,21 @@ def source_plan(
     own = [r["size"] for r in found]
     weight = [weights[i % len(weights)] for i in range(len(own))]
     target = targets(own, weight, share * sum(own), passes)
-    quota = [min(passes * s, round(t)) for s, t in zip(own, target)]
-    blocks = [-(-q // BLOCK_WORDS) for q in quota]
-    dealt = split_quotas(blocks, shards, seed)
-    rows = []
-    for i, r in enumerate(found):
-        ends = list(itertools.accumulate(dealt[k][i] for k in range(shards)))
-        rows.append({"source": r["source"], "source_size": own[i], "target": target[i], "quota": quota[i], "blocks": blocks[i], "ends": ends})
+    rows, used = [], []
+    for r, size, t in zip(found, own, target):
+        full, rest = divmod(min(passes * size, round(t)), size) if size else (0, 0)
+        short = size - (r["blocks"] - 1) * BLOCK_WORDS if size else 0
+        last = -(-rest // BLOCK_WORDS)  # blocks of the last pass; one more if the short one is among them
+        if r["short_at"] < last and last * BLOCK_WORDS - (BLOCK_WORDS - short) < rest:
+            last += 1
+        used.append(full * r["blocks"] + last)
+        rows.append({
+            "source": r["source"], "source_size": size, "target": t, "full": full, "rest": rest,
+            "blocks": r["blocks"], "short": short, "short_at": r["short_at"],
+        })
+    dealt = split_quotas(used, shards, seed)
+    for i, row in enumerate(rows):
+        row["ends"] = list(itertools.accumulate(dealt[k][i] for k in range(shards)))
     return _plan_frame(spark, rows)
 
 
@@ -184,12 +193,13 @@ def draw_mix(
     """
     plain = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), word_count().alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")).alias("place"),
+        F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text")).alias("place"),
+        F.xxhash64(F.lit(seed + 2), F.col("text")).alias("tie"),
         *[F.col(c).alias(f"__c_{c}") for c in carried],
     )
     sized = plain if carried else materialise(plain)
-    narrow = sized.select("doc_id", "source", "size", "place") if not carried else materialise(
-        sized.select("doc_id", "source", "size", "place")
+    narrow = sized.select("doc_id", "source", "size", "place", "tie") if not carried else materialise(
+        sized.select("doc_id", "source", "size", "place", "tie")
     )
     plan = F.broadcast(source_plan(narrow, weights, share, passes, shards, seed))
     # as many hash ranges as rows in a range
@@ -203,7 +213,7 @@ def draw_mix(
         F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"),
     )
     inside = (
-        Window.partitionBy("source", "part").orderBy("place", "doc_id", "size")
+        Window.partitionBy("source", "part").orderBy("place", "doc_id", "tie", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     lined = (
@@ -213,17 +223,20 @@ def draw_mix(
     )
     plan = plan.withColumnRenamed("source", "__named")
     taken = lined.join(plan, F.col("source").eqNullSafe(F.col("__named")))
-    start = "(at + p * source_size)"
-    last = f"least(quota, {start} + size)"
-    spans = (
-        f"transform(if(size > 0 AND {start} < quota, sequence({start} div {BLOCK_WORDS}, ({last} - 1) div {BLOCK_WORDS}),"
-        f" array()), b -> named_struct('b', b, 'x', {permuted('b', 'blocks', seed)}))"
+    # the blocks that a document lies in, with their places in the permuted order
+    blocks = (
+        f"transform(if(size > 0, sequence(at div {BLOCK_WORDS}, (at + size - 1) div {BLOCK_WORDS}), array()),"
+        f" b -> named_struct('b', b, 'x', {permuted('b', 'blocks', seed)}))"
     )
+    whole = f"if(s.b = blocks - 1, short, {BLOCK_WORDS}L)"
+    before = f"(s.x * {BLOCK_WORDS} - if(short_at < s.x, {BLOCK_WORDS} - short, 0))"  # words of the blocks before
+    kept = f"if(p < full, {whole}, if(p = full, greatest(0L, least({whole}, rest - {before})), 0L))"
     pieces = F.expr(
-        f"flatten(transform(sequence(0, {passes - 1}), p -> transform({spans}, s -> named_struct("
-        " 'shard', size(filter(ends, e -> e <= s.x)), 'pass', p,"
-        f" 'first', greatest(0L, s.b * {BLOCK_WORDS} - {start}),"
-        f" 'words', least({last}, (s.b + 1) * {BLOCK_WORDS}) - greatest({start}, s.b * {BLOCK_WORDS})))))"
+        f"transform(array({blocks}), own -> flatten(transform(sequence(0, {passes - 1}), p -> filter(transform(own, s ->"
+        " named_struct('shard', size(filter(ends, e -> e <= p * blocks + s.x)), 'pass', p,"
+        f" 'first', greatest(0L, s.b * {BLOCK_WORDS} - at),"
+        f" 'words', least(at + size, s.b * {BLOCK_WORDS} + {kept}) - greatest(at, s.b * {BLOCK_WORDS}))),"
+        " x -> x.words > 0))))[0]"
     )
     return (
         taken.withColumn("pieces", pieces)
@@ -243,7 +256,7 @@ def mixed_pieces(text: str = "text", seed: int = SEED) -> Column:
         own = F.array_join(F.slice(w, p["first"].cast("int") + 1, p["words"].cast("int")), " ")
         return F.struct(
             p["shard"].alias("shard"),
-            F.xxhash64(F.lit(seed + 1), F.col("doc_id"), p["pass"], p["first"]).alias("place"),
+            F.xxhash64(F.lit(seed + 1), F.col("doc_id"), p["pass"], p["first"], own).alias("place"),
             own.alias("text"), F.sha2(own, 256).alias("sha256"),
         )
 

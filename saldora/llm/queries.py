@@ -33,8 +33,10 @@ def op2_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_shard = F.array_sort(F.transform("pieces", lambda p: F.struct(p["shard"], p["pass"], p["first"], p["words"])))
+    listed = F.transform(by_shard, lambda p: F.concat_ws(":", p["shard"], p["pass"], p["first"], p["words"]))
     return mixing.draw_mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", F.array_join(listed, ",").alias("pieces")
     )
 
 
@@ -293,6 +295,43 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, wal
 FROM folded JOIN walk ON walk.grp = folded.grp AND walk.i = folded.i AND walk.k = walk.steps
 """
 
+_RUNS_SQL = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, {_CRC_SQL.format("doc_id")} AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (
+  SELECT r, doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS planted,
+    (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS d FROM t),
+v AS (
+  SELECT r, doc_id, n, CASE WHEN planted THEN
+      list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // d) END]) ELSE w END AS w FROM u),
+five AS (
+  SELECT r, i, hash(w[i + 1:i + 5]) AS g, CASE WHEN i > 0 THEN w[i] END AS l
+  FROM (SELECT r, w, unnest(range(n - 4)) AS i FROM v WHERE n >= 6)),
+-- pairs of places with equal words from there on and other words before
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM five x JOIN five y ON x.r = y.r AND x.g = y.g AND y.i > x.i
+  JOIN v ON v.r = x.r
+  WHERE x.l IS DISTINCT FROM y.l AND 4 * (y.i - x.i) <= v.n - x.i),
+long AS (
+  SELECT pairs.*, v.w, v.n FROM pairs JOIN v USING (r)
+  WHERE w[i + 1:i + greatest(5, 3 * q)] = w[i + q + 1:i + q + greatest(5, 3 * q)] AND i + q + greatest(6 - q, 3 * q) <= n),
+ends AS (
+  SELECT r, i, q, q + coalesce(list_position(list_transform(range(n - i - q), lambda k: w[i + k + 1] = w[i + q + k + 1]), false) - 1, n - i - q) AS size
+  FROM long),
+runs AS (SELECT r, i AS start, size, min(q) AS q FROM ends WHERE size >= greatest(6, 4 * q) GROUP BY r, i, size),
+per AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || size || ',' || q || chr(10), '' ORDER BY start, q) AS listed,
+    first(struct_pack(s := start, z := size, q := q) ORDER BY size DESC, start, q) AS x FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + q, start + size)) AS pos FROM runs),
+kept AS (
+  SELECT a.r, string_agg(a.x, ' ' ORDER BY a.pos) AS t FROM (SELECT r, unnest(w) AS x, unnest(range(n)) AS pos FROM v WHERE r IN (SELECT r FROM runs)) a
+  LEFT JOIN gone ON gone.r = a.r AND gone.pos = a.pos WHERE gone.r IS NULL GROUP BY a.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, x.s AS start, x.z AS length, x.q AS period, 1000 * x.z // x.q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(t, array_to_string(w, ' '))) AS collapsed_sha256
+FROM v LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
+"""
+
 # The others have no SQL form: trained scores, MinHash values and hash orders, and offsets
 # of regular expression matches. Tests hold them against brute force.
 ORACLE: dict[str, str] = {
@@ -301,4 +340,5 @@ ORACLE: dict[str, str] = {
     "op10_benchmark_hits": _BENCHMARK_SQL,
     "op11_topk_search": _TOPK_SQL,
     "op12_merkle_manifest": _MANIFEST_SQL,
+    "op13_periodic_runs": _RUNS_SQL,
 }

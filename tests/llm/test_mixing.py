@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from saldora.llm import mixing
 from saldora.llm.queries import op3_mixed_shards, op3_source_mix
 from saldora.llm.rows import table
@@ -59,7 +60,46 @@ def test_tree_is_exact_and_fair():
     mean = sum(got) / len(got)
     assert abs(mean - 6) < 0.06 and abs(sum((x - mean) ** 2 for x in got) / len(got) - 20 * 0.3 * 0.7 * 80 / 99) < 0.15
     assert mixing.hypergeometric(draw, 0, 5, 3) == 0 and mixing.hypergeometric(draw, 5, 0, 3) == 3
-    assert 0 <= mixing.hypergeometric(draw, 10**9, 10**9, 10**9) <= 10**9
+    # of any size, with the right spread
+    n = 10**12
+    got = [(mixing.hypergeometric(draw, n, n, n) - n / 2) / (n / 8) ** 0.5 for _ in range(4_000)]
+    assert abs(sum(got) / len(got)) < 0.08 and abs(sum(x * x for x in got) / len(got) - 1) < 0.1
+
+
+def test_many_sources_are_filled_in_one_sweep():
+    draw = random.Random(8)
+    sizes = {i: draw.choice([0, 1, 5, 100, 10_000]) for i in range(3_000)}
+    got = mixing.targets(list(sizes.values()), [(5, 2, 1)[i % 3] for i in range(3_000)], 1.5 * sum(sizes.values()), 2)
+    assert abs(sum(got) - 1.5 * sum(sizes.values())) < 1e-3
+    rate = max(t / (5, 2, 1)[i % 3] for i, t in enumerate(got) if t < 2 * sizes[i] - 1e-9)
+    for i, t in enumerate(got):
+        assert t <= 2 * sizes[i] + 1e-9 and (abs(t - rate * (5, 2, 1)[i % 3]) < 1e-6 or abs(t - 2 * sizes[i]) < 1e-6)
+
+
+def test_last_pass_takes_permuted_blocks(spark):
+    """What is taken follows the permutation of all blocks of the line, the short one included."""
+    words = 20 * mixing.BLOCK_WORDS + 100
+    docs = [(i, " ".join(f"d{i}w{k}" for k in range(words // 40)), None, "a") for i in range(40)]
+    drawn = rows(mixing.draw_mix(documents(spark, docs), shards=4, share=0.5))
+    total = sum(r["size"] for r in drawn)
+    assert sum(r["taken"] for r in drawn) == round(0.5 * total)
+    shares = sorted(r["taken"] / r["size"] for r in drawn)
+    assert shares[0] == 0 and shares[-1] == 1
+    other = rows(mixing.draw_mix(documents(spark, docs), shards=4, share=0.5, seed=99))
+    assert {r["doc_id"]: r["taken"] for r in other} != {r["doc_id"]: r["taken"] for r in drawn}
+
+
+def test_rows_without_ids_are_told_apart(spark):
+    """Shared and missing ids, equal sizes: the same texts come out in any partitioning."""
+    draw = random.Random(6)
+    docs = [(draw.choice([None, 1, 2]), " ".join(draw.choice("abcdefgh") + str(k) for k in range(50)), None, "s") for _ in range(400)]
+    frame = documents(spark, docs)
+    mixes = []
+    for f in (frame, frame.repartition(13), frame.orderBy(F.desc("text")).coalesce(1)):
+        found = rows(mixing.shuffled_shards(mixing.draw_mix(f, carried=["text"], shards=4)))
+        mixes.append(Counter((r["shard"], r["place"], r["text"]) for r in found))
+    assert mixes[0] == mixes[1] == mixes[2]
+    assert max(Counter(p for _, p, _ in mixes[0]).values()) <= 2
 
 
 def test_pieces_are_disjoint_and_complete(spark):
