@@ -5,9 +5,11 @@ base64url or hex are then decoded and reported as further spans only if their st
 holds: signed tokens need three segments, a JSON header that names an algorithm and a JSON
 payload; key encodings need a DER sequence whose nested lengths fill the input exactly, or
 the length-prefixed fields of the SSH wire format. A key in base64 takes whole lines, the
-last of any length, the others of 24 characters or more, with any white space between them.
-Its own lengths say where it ends, so each line of a run is tried as a key's first and the
-keys of adjacent lines are told apart.
+last of any length, the others of 24 characters or more. Between lines may stand any white
+space and what it becomes when a key is written into another text: escaped line ends, quotes
+and the sign that joins quoted parts, marks of quoted mail, comments, lists and tables. Its own lengths say where it
+ends, so each line of a run is tried as a key's first, and within a line each place where a
+key's first characters stand; the keys of adjacent lines are told apart. Hex may follow ``0x``.
 
 Cases: a null or empty text has no spans. A match that fails its length test is dropped
 after it has used up its characters. Repeated rows give repeated results. Offsets are code
@@ -41,10 +43,18 @@ KINDS = ("assign", "access", "hex", "token", "key")
 BASE = KINDS[:3]
 
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# what may stand between two lines of a key
+_JOINT = r"""(?:\s|\\[rnt]|["'`,;>#*|]|(?<=["'`\s])\+(?=\s))+"""
+_SIGN = "[A-Za-z0-9+/_-]"
 # lines of at least 24 characters and a last one of any length
-_ENCODED = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\s+[A-Za-z0-9+/_-]{24,})*(?:\s+[A-Za-z0-9+/_-]{1,23})?={0,2}(?:\s+={1,2})?")
-_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
-_HEXES = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
+_ENCODED = re.compile(rf"{_SIGN}{{24,}}(?:{_JOINT}{_SIGN}{{24,}})*(?:{_JOINT}{_SIGN}{{1,23}})?={{0,2}}(?:\s+={{1,2}})?")
+_JOINTS = re.compile(_JOINT)
+_PADDING = re.compile(r"[\s=]*$")
+# first characters of a DER sequence of 128 bytes or more, and of SSH keys
+_FIRSTS = re.compile(r"MI[IGH]|b3BlbnNzaC1rZXktdjEA|AAAA(?:[BC]3NzaC1|E2VjZHNh|[GI]nNr)")
+_HEXES = re.compile(
+    r"(?<![0-9A-Za-z])(?:0[xX])?((?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,})(?![0-9A-Za-z])"
+)
 _SSH_NAMES = (b"ssh-", b"ecdsa-", b"sk-")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 _SSH_TAG = 16  # bytes an authenticated cipher adds after the private part
@@ -150,10 +160,17 @@ def _is_key(data: bytes | None) -> bool:
 
 
 class _Run:
-    """Lines of base64 characters, read as bytes from the start of any line."""
+    """Lines of base64 characters, read as bytes from the start of any line; a line is cut where
+    a key's first characters stand."""
 
     def __init__(self, text: str):
-        self.lines = [m.span() for m in _LINE.finditer(text)]
+        self.lines, at = [], 0
+        end = _PADDING.search(text).start()
+        for joint in [*_JOINTS.finditer(text, 0, end), None]:
+            to = joint.start() if joint else end
+            cuts = [m.start() for m in _FIRSTS.finditer(text, at, to) if m.start() > at]
+            self.lines += [x for x in zip([at, *cuts], [*cuts, to]) if x[0] < x[1]]
+            at = joint.end() if joint else end
         self.body = "".join(text[a:b] for a, b in self.lines).replace("-", "+").replace("_", "/")
         self.cuts = [0, *itertools.accumulate(b - a for a, b in self.lines)]
         self.line_at = {c: k for k, c in enumerate(self.cuts)}
@@ -241,8 +258,8 @@ def confirmed_spans(text: str) -> list[Span]:
     for m in _ENCODED.finditer(text):
         found += [(m.start() + a, m.start() + b, "key") for a, b in encoded_keys(m[0])]
     for m in _HEXES.finditer(text):
-        if _is_key(bytes.fromhex(m[0])):
-            found.append((m.start(), m.end(), "key"))
+        if _is_key(bytes.fromhex(m[1])):
+            found.append((m.start(1), m.end(1), "key"))
     return sorted(set(found))
 
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 from saldora.llm import secrets
 from saldora.llm.queries import op1_secret_scan
@@ -146,3 +147,45 @@ def test_private_ssh_key_with_its_last_line():
         key = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + b"\0\0\0\1" + field(SSH)
         body = _pem(key + field(b"p" * size) + tag, 70)
         assert _keys(f"-----BEGIN OPENSSH PRIVATE KEY-----\n{body}\n-----END OPENSSH PRIVATE KEY-----") == [body]
+
+
+def test_keys_written_into_other_texts():
+    """Escaped line ends, quoted and joined lines, quoted mail, lists, comments: the key is whole."""
+    for size in (150, 294, 609, 1217):
+        key = _of_size(size)
+        lines = _pem(key).split("\n")
+        for text in (
+            '{"pem": "-----BEGIN KEY-----\\n' + "\\n".join(lines) + '\\n-----END KEY-----\\n"}',
+            "\n".join(f'    "{x}" +' for x in lines[:-1]) + f'\n    "{lines[-1]}";',
+            "[" + ",\n ".join(f"'{x}'" for x in lines) + "]",
+            "\n".join(f"> {x}" for x in lines) + "\n> regards",
+            "\n".join(f"> > {x}" for x in lines),
+            "\n".join(f"# {x}" for x in lines),
+            "\\r\\n".join(lines),
+            "\n".join(f" * {x}" for x in lines),
+            "| " + " |\n| ".join(lines) + " |",
+        ):
+            found = [s for s in secrets.confirmed_spans(text) if s[2] == "key"]
+            assert len(found) == 1, (size, text[:90])
+            span = text[found[0][0] : found[0][1]]
+            assert span.startswith(lines[0]) and span.rstrip("=").endswith(lines[-1].rstrip("="))
+
+
+def test_keys_behind_other_characters():
+    body = base64.b64encode(KEY).decode()
+    ssh = base64.b64encode(SSH).decode()
+    for before in ("/", "x-", "key_", "abc/def+", "A" * 40):
+        for text in (body, ssh):
+            found = [s for s in secrets.confirmed_spans(f"see {before}{text} end") if s[2] == "key"]
+            assert [f"see {before}{text} end"[a:b] for a, b, _ in found] == [text]
+    for hexed in (KEY.hex(), KEY.hex().upper(), SSH.hex()):
+        for text in (f"0x{hexed}", f"key: 0X{hexed};", hexed):
+            assert [text[a:b] for a, b, k in secrets.confirmed_spans(text) if k == "key"] == [hexed]
+
+
+def test_long_texts_of_joints_and_firsts():
+    """Linear in texts that begin keys everywhere and end none."""
+    start = time.perf_counter()
+    for text in ("MIIB" * 60_000, "AAAAB3NzaC1" * 20_000, ("A" * 30 + '" + "') * 8_000, "MIIB" * 8 + "\\n" * 60_000):
+        secrets.find_spans(text)
+    assert time.perf_counter() - start < 20
