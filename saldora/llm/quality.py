@@ -12,12 +12,13 @@ document's cosines with all of them are computed exactly, a block of documents a
 its ``Bounds.neighbours`` nearest vote with weights that grow with similarity.
 
 At most ``labelled`` rows are learnt from, chosen by key hash; a document's vector comes
-from its whole text.
+from its whole text. The driver holds their terms packed and unpacks ``_BLOCK`` rows at a time.
 
 Cases: an empty or null text has no direction and gets the mean label. Labels that are null
 are ignored; of several labels of one id the smallest counts. Without labels every score is
-0.5. Equal similarities are ordered by key hash. Repeated rows give repeated results; a null
-id is scored but never learnt from.
+0.5. Where more labelled vectors are equally near than votes are left, they share these votes
+evenly, so copies with different labels count alike whatever their ids. Repeated rows give
+repeated results; a null id is scored but never learnt from.
 """
 
 from __future__ import annotations
@@ -79,6 +80,8 @@ _RUN = 6
 _DOCS = 256  # documents whose counts are held at once
 _REPEATS = 16  # the last terms are kept for repeated words
 _GAIN = 6.0
+_BLOCK = 512  # labelled rows unpacked at once
+_TIE = 1e-6  # similarities that differ by less are equal
 
 
 def vocabulary_counts(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
@@ -142,8 +145,27 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+@dataclass
+class Packed:
+    """Rows of terms as places and values of what is not nought."""
+
+    places: list[np.ndarray]
+    values: list[np.ndarray]
+    terms: int
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        return len(self.places), self.terms
+
+    def __getitem__(self, rows: slice) -> np.ndarray:
+        out = np.zeros((len(self.places[rows]), self.terms), dtype=np.float32)
+        for i, (at, x) in enumerate(zip(self.places[rows], self.values[rows])):
+            out[i, at] = x
+        return out
+
+
 def latent_space(
-    counts: np.ndarray, labels: np.ndarray, bounds: Bounds, found: tuple[int, np.ndarray] | None = None
+    counts: np.ndarray | Packed, labels: np.ndarray, bounds: Bounds, found: tuple[int, np.ndarray] | None = None
 ) -> Space:
     """Directions by a randomised truncated decomposition of the weighted, unit-length rows.
 
@@ -152,15 +174,25 @@ def latent_space(
     n, terms = counts.shape
     documents, having = found or (n, (counts > 0).sum(axis=0))
     idf = np.log((1 + documents) / (1 + having)).astype(np.float32) + np.float32(0.1)
-    x = _unit(counts * idf)
+
+    def times(basis: np.ndarray) -> np.ndarray:
+        return np.concatenate([_unit(counts[at : at + _BLOCK] * idf) @ basis for at in range(0, n, _BLOCK)])
+
+    def twice(basis: np.ndarray) -> np.ndarray:
+        total = np.zeros(basis.shape, dtype=np.float32)
+        for at in range(0, n, _BLOCK):
+            x = _unit(counts[at : at + _BLOCK] * idf)
+            total += x.T @ (x @ basis)
+        return total
+
     rank = max(1, min(bounds.rank, n, terms))
     draw = np.random.default_rng(3)
-    basis = x.T @ (x @ draw.standard_normal((terms, min(terms, rank + 8))).astype(np.float32))
+    basis = twice(draw.standard_normal((terms, min(terms, rank + 8))).astype(np.float32))
     for _ in range(3):
-        basis, _ = np.linalg.qr(x.T @ (x @ basis))
-    _, _, inner = np.linalg.svd(x @ basis, full_matrices=False)
+        basis, _ = np.linalg.qr(twice(basis))
+    _, _, inner = np.linalg.svd(times(basis), full_matrices=False)
     directions = (basis @ inner[:rank].T).astype(np.float32)
-    return Space(idf, directions, _unit(x @ directions).astype(np.float32), labels, bounds.neighbours, bounds.power, bounds.words)
+    return Space(idf, directions, _unit(times(directions)).astype(np.float32), labels, bounds.neighbours, bounds.power, bounds.words)
 
 
 def project(space: Space, counts: np.ndarray) -> np.ndarray:
@@ -173,9 +205,15 @@ def votes(space: Space, vectors: np.ndarray, empty: np.ndarray) -> np.ndarray:
         return np.full(len(vectors), 0.5)
     k = min(space.neighbours, len(space.labels))
     cosine = vectors @ space.vectors.T
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < cosine.shape[1] else np.arange(k)[None, :].repeat(len(vectors), 0)
-    weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** space.power + 1e-9
-    score = (weight * space.labels[near]).sum(axis=1) / weight.sum(axis=1)
+    n = cosine.shape[1]
+    least = np.partition(cosine, n - k, axis=1)[:, n - k : n - k + 1]
+    above, near = cosine > least + _TIE, cosine >= least - _TIE
+    left = k - above.sum(axis=1)
+    row, column = np.nonzero(near)
+    tied = ~above[row, column]
+    share = np.where(tied, (left / np.maximum(1, np.bincount(row, tied, len(vectors))))[row], 1.0)
+    weight = share * (np.maximum(cosine[row, column], 0) ** space.power + 1e-9)
+    score = np.bincount(row, weight * space.labels[column], len(vectors)) / np.bincount(row, weight, len(vectors))
     return np.where(empty, space.labels.mean(), score).clip(0, 1)
 
 
@@ -213,7 +251,8 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, counts in _counted(batches, bounds.terms, bounds.words):
-            packed = [x.astype(np.float16).tobytes() for x in counts]
+            at = [np.flatnonzero(x).astype(np.uint16) for x in counts]
+            packed = [p.tobytes() + x[p].astype(np.float16).tobytes() for p, x in zip(at, counts)]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(packed, pa.binary())],
                 names=["doc_id", "quality", "terms"],
@@ -231,7 +270,10 @@ def train(
         size = bounds.terms + bounds.words
         flat, idf = np.zeros((size, 1), dtype=np.float32), np.ones(size, np.float32)
         return Space(idf, flat, none, np.zeros(0), bounds.neighbours, bounds.power, bounds.words)
-    counts = np.stack([np.frombuffer(x.as_py(), dtype=np.float16) for x in sample["terms"]]).astype(np.float32)
+    both = [np.frombuffer(x.as_py(), dtype=np.uint16) for x in sample["terms"]]  # places, then values
+    counts = Packed(
+        [x[: len(x) // 2] for x in both], [x[len(x) // 2 :].view(np.float16) for x in both], bounds.terms + bounds.words
+    )
     known = sample["quality"].to_numpy().astype(np.float64)
     return latent_space(counts, known, bounds, document_frequencies(docs, bounds))
 

@@ -230,6 +230,54 @@ def test_neighbours_are_exact():
         assert score == pytest.approx((weight * labels[near]).sum() / weight.sum(), rel=1e-4)
 
 
+def test_equal_neighbours_share_the_votes():
+    """Forty equal labelled vectors, half of each label: one half, in whatever order they stand."""
+    draw = np.random.default_rng(5)
+    one = quality._unit(draw.random((1, 8)).astype(np.float32))
+    for order in (np.arange(40), draw.permutation(40), np.argsort(np.arange(40) % 2, kind="stable")):
+        labels = (np.arange(40) % 2)[order].astype(float)
+        space = quality.Space(np.ones(8, np.float32), np.eye(8, dtype=np.float32), one.repeat(40, 0), labels, 15, 4.0, 0)
+        assert quality.votes(space, one, np.zeros(1, dtype=bool))[0] == pytest.approx(0.5, abs=1e-9)
+    # a nearer one counts whole, the equal ones share what is left
+    vectors = np.concatenate([np.eye(2, dtype=np.float32)[:1], np.array([[0.6, 0.8]], np.float32).repeat(4, 0)])
+    space = quality.Space(np.ones(2, np.float32), np.eye(2, dtype=np.float32), vectors, np.array([1.0, 0, 0, 0, 1]), 3, 1.0, 0)
+    got = quality.votes(space, np.array([[1.0, 0.0]], np.float32), np.zeros(1, dtype=bool))[0]
+    assert got == pytest.approx((1 + 0.5 * 0.6) / (1 + 2 * 0.6), abs=1e-6)
+
+
+def test_packed_rows_give_the_same_space():
+    draw = np.random.default_rng(6)
+    counts = (draw.random((700, 64)) * (draw.random((700, 64)) < 0.2)).astype(np.float16).astype(np.float32)
+    at = [np.flatnonzero(x).astype(np.uint16) for x in counts]
+    packed = quality.Packed(at, [x[p].astype(np.float16) for p, x in zip(at, counts)], 64)
+    bounds, found = quality.Bounds(terms=64, rank=8, words=0), (700, (counts > 0).sum(axis=0))
+    labels = draw.integers(0, 2, 700).astype(float)
+    a, b = (quality.latent_space(x, labels, bounds, found) for x in (counts, packed))
+    assert np.array_equal(a.directions, b.directions) and np.array_equal(a.vectors, b.vectors)
+
+
+def test_quality_query_against_plain_votes(spark):
+    """The query's scores from vectors and votes computed one document at a time."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    space = quality.train(docs, labels, ~held_out(5, 0))
+    found, seen = by_id(op2_quality_neighbours(spark, SF)), 0
+    for d in rows(docs.select("doc_id", "text").where("doc_id % 9 = 0")):
+        data = (d["text"] or "").encode()
+        if not data:
+            continue
+        terms = _quality_terms(d["text"])[0].astype(float) * space.idf
+        vector = terms / np.linalg.norm(terms) @ space.directions
+        cosine = space.vectors @ (vector / np.linalg.norm(vector))
+        order = np.argsort(-cosine)
+        least = cosine[order[space.neighbours - 1]]
+        above, equal = cosine > least + 1e-6, np.abs(cosine - least) <= 1e-6
+        share = np.where(above, 1.0, np.where(equal, (space.neighbours - above.sum()) / equal.sum(), 0.0))
+        weight = share * (np.maximum(cosine, 0) ** space.power + 1e-9)
+        assert found[d["doc_id"]]["score"] == pytest.approx((weight * space.labels).sum() / weight.sum(), abs=2e-2)
+        seen += 1
+    assert seen > 90
+
+
 def _quality_terms(*texts):
     data = [t.encode() for t in texts]
     offsets = np.cumsum([0, *map(len, data)])
