@@ -206,6 +206,10 @@ add("a2_column_profile",
     with_roles(A_RAW, _profile_sql("a_raw", A_PROFILE)))
 add("a2_column_profile_approx",
     lambda s, d: _shown(q.profile(rename(track_b_raw(s, d), CAMPAIGN_NAMES), approx=True)))
+add("a2_sketch_bounds",
+    lambda s, d: q.sketch_check(track_a_raw(s, d).select(*[c for c, _ in A_PROFILE])).drop("estimate"),
+    with_roles(A_RAW, _union(*[
+        f"SELECT '{name}' AS \"column\", count(DISTINCT {name}) AS distinct_count, true AS within FROM a_raw" for name, _ in A_PROFILE])))
 add("a3_level_shares",
     lambda s, d: q.level_shares(track_a_raw(s, d), "occupation").withColumn("pct", round_to("pct", 4)),
     with_roles(A_RAW, f"""SELECT occupation AS level, count(*) AS n,

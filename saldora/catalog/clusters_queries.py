@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from saldora.catalog.registry import Book
@@ -9,6 +12,7 @@ from saldora.catalog.roles import stand_in_segments, track_a
 from saldora.catalog.roles_sql import A, SEGMENTS, key_hash, r, with_roles
 from saldora.functions.expr import round_to
 from saldora.operators import segment as sg
+from saldora.operators.clusters import fit_all, unmoved
 from saldora.operators.relational import attach
 from saldora.session import right_size, scratch_path
 from saldora.sources import read_csv, write_csv
@@ -56,7 +60,7 @@ def k3(s, d):
     vectors = sg.as_vector(frame, sg.FEATURES).select("customer_id", "features")
     vectors = right_size(vectors, frame.count()).persist()
     try:
-        best = sg.kmeans(vectors, sg.FINAL_K)
+        best = sg.kmeans(vectors, sg.FINAL_K, key="customer_id")
     finally:
         vectors.unpersist()
     return best.label(vectors).groupBy("segment").agg(F.count(F.lit(1)).alias("customers")).withColumns(
@@ -64,6 +68,49 @@ def k3(s, d):
 
 
 add("k3_kmeans_restarts", k3)
+K_RANGE = range(2, 7)
+
+
+def _all_runs(s, d):
+    """Stored vectors and all restarts for k = 2..6."""
+    frame = scaled(s, d)
+    vectors = sg.as_vector(frame, sg.FEATURES).select("customer_id", "features")
+    vectors = right_size(vectors, frame.count()).persist()
+    return vectors, fit_all(vectors, vector_to_array("features"), K_RANGE, sg.RESTARTS, sg.SEED, key="customer_id")
+
+
+def k3_fixed_point(s, d):
+    """For every k the best run once more: assign all rows, recompute the centres, compare."""
+    vectors, found = _all_runs(s, d)
+    parts = []
+    for k, runs in found.items():
+        best = sg.best_of(runs)
+        again = unmoved(vectors, vector_to_array("features"), best.centres)
+        sizes = F.array(*[F.lit(n) for n in best.sizes])[F.col("cluster")]
+        parts.append(again.agg(
+            F.lit(k).alias("k"), F.lit(len(runs)).alias("restarts"), F.count(F.lit(1)).alias("clusters"),
+            F.sum("rows").alias("customers"), (F.max("moved") < 1e-6).alias("unmoved"),
+            F.every(sizes == F.col("rows")).alias("sizes_agree")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+add("k3_fixed_point", k3_fixed_point, with_roles(A, """
+  SELECT k::INT AS k, 10 AS restarts, k::BIGINT AS clusters, (SELECT count(*) FROM a) AS customers, true AS unmoved, true AS sizes_agree
+  FROM (SELECT unnest(range(2, 7)) AS k)"""))
+
+
+def k4_costs_fall(s, d):
+    """The best cost of each k, checked to fall as k grows; ten restarts each."""
+    vectors, found = _all_runs(s, d)
+    best = {k: min(r.cost for r in runs) for k, runs in found.items()}
+    rows = vectors.agg(F.count(F.lit(1)).alias("customers"))
+    falls = F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(k == K_RANGE[0] or best[k] < best[k - 1]).alias("falls")) for k in K_RANGE])
+    return rows.select("customers", F.inline(falls))
+
+
+add("k4_costs_fall", k4_costs_fall, with_roles(A, """
+  SELECT (SELECT count(*) FROM a) AS customers, k::INT AS k, true AS falls FROM (SELECT unnest(range(2, 7)) AS k)"""))
 add("k4_evaluate_k", lambda s, d: sg.evaluate_k(scaled(s, d), sg.FEATURES))
 DIST = "sqrt(" + " + ".join(f"(p.{c} - q.{c}) ** 2" for c in sg.FEATURES) + ")"
 
@@ -98,6 +145,24 @@ add("k6_davies_bouldin",
       SELECT {r('avg(w)', 6)} AS davies_bouldin FROM pairs"""))
 
 
+def k7_nearest(s, d):
+    """Every customer's segment against the nearest centre, found by its own ranking of distances."""
+    vectors, found = _all_runs(s, d)
+    best = sg.best_of(found[sg.FINAL_K])
+    far = [
+        F.struct(
+            F.aggregate(
+                F.zip_with(vector_to_array("features"), F.array(*[F.lit(float(v)) for v in c]), lambda a, b: F.pow(a - b, 2.0)),
+                F.lit(0.0), lambda t, v: t + v).alias("far"),
+            F.lit(i).alias("segment"))
+        for i, c in enumerate(best.centres)
+    ]
+    return best.label(vectors).select("customer_id", (F.col("segment") == F.least(*far)["segment"]).alias("nearest"))
+
+
+add("k7_nearest_centre", k7_nearest, with_roles(A, "SELECT customer_id, true AS nearest FROM a"))
+
+
 def k7(s, d):
     """Segments of all customers, and the churn they go with."""
     return sg.segment_customers(track_a(s, d))

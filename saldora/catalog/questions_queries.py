@@ -245,6 +245,33 @@ add(
       {r('avg(previous_contact_flag::INT)', 4)} AS previous_contact_rate FROM b GROUP BY 1"""),
 )
 
+GRAINS = [[], ["segment"], ["occupation"], ["segment", "occupation"]]
+MEASURES = ["customers", *M12_A[1:]]
+
+
+def m12_extract(s, d):
+    """All grains and filters of track A's measures in one scan, with exact medians."""
+    tier = F.col("customer_nw_category")
+    out = dash.grain_extract(
+        qa.with_recency(stand_in_segments(s, d), REF_DATE), GRAINS,
+        {"all": None, "tier 2": tier == 2, "high balance": F.col("current_balance") > 10_000, "tier 3": tier == 3},
+        MEASURES, "current_balance")
+    return _rounded(out, 6, *MEASURES[1:], "median")
+
+
+def _grains_sql(frame, dims, filters, measures):
+    """Grouping sets over the rows of each filter."""
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS filter, * FROM {frame} WHERE {c}" for n, c in filters.items())
+    sets = ", ".join("(" + ", ".join(["filter", *g]) + ")" for g in dims)
+    names = list(dict.fromkeys(x for g in dims for x in g))
+    grain = "concat_ws(',', " + ", ".join(f"CASE WHEN grouping({x}) = 0 THEN '{x}' END" for x in names) + ")"
+    return f"SELECT filter, {grain} AS grain, {', '.join(names)}, {measures} FROM ({rows}) GROUP BY GROUPING SETS ({sets})"
+
+
+add("m12_all_grains_and_filters", m12_extract, with_roles(SEGMENTS, _grains_sql(
+    "g", GRAINS, {"all": "true", "tier 2": "customer_nw_category = 2", "high balance": "current_balance > 10000", "tier 3": "customer_nw_category = 3"},
+    "count(*) AS customers, " + ", ".join(f"{r(M12_EXPR[n], 6)} AS {n}" for n in M12_A[1:]) + f", {r('median(current_balance)', 6)} AS median")))
+
 # -------------------------------------------------------------- dashboards
 
 add(
@@ -299,3 +326,12 @@ add(
     lambda s, d: dash.adoption_by_job(track_b(s, d), F.col("month") == "may"),
     with_roles(B, f"SELECT job, count(*) AS observation_count, {ADOPT} FROM b WHERE month = 'may' GROUP BY 1"),
 )
+add(
+    "d9_adoption_extract",
+    lambda s, d: _rounded(dash.grain_extract(
+        track_b(s, d), [["job"], ["month"], ["job", "month"], []],
+        {"all": None, "may": F.col("month") == "may", "contacted": F.col("previous_contact_flag")},
+        ["observation_count", "adoption_rate", "previous_contact_rate"]), 4, "adoption_rate", "previous_contact_rate"),
+    with_roles(B, _grains_sql("b", [["job"], ["month"], ["job", "month"], []], {"all": "true", "may": "month = 'may'", "contacted": "previous_contact_flag"},
+        f"count(*) AS observation_count, {ADOPT}, {r('avg(previous_contact_flag::INT)', 4)} AS previous_contact_rate")),
+)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from saldora.functions.expr import Band, band, key_hash, round_to
 from saldora.operators.rank import cut_points, passed_cuts, running_sums
 from saldora.operators.relational import best, with_group_values
-from saldora.session import local_frame
+from saldora.session import local_frame, small
 
 # The threshold grid and the column order of the comparison table.
 THRESHOLDS = [round(0.10 + 0.05 * i, 2) for i in range(17)]
@@ -249,25 +249,33 @@ def risk_by_segment(scores: DataFrame, segments: DataFrame, key: str) -> DataFra
     )
 
 
+# Rows a block of the shuffle has in the mean; it bounds a task and never changes a donor.
+BLOCK_ROWS = 100_000
+
+
 def shuffled_donors(
     df: DataFrame, cols: Sequence[str], key: str, seed: int, blocks: int | None = None
 ) -> DataFrame:
     """Add ``donor``: a struct of ``cols`` taken from a random other row.
 
-    Rows fall into random blocks by key hash and pass their values once round the block in
-    a second random order, so every value is used exactly once: a random permutation that
-    costs one evenly spread exchange. The number of blocks follows the session's shuffle
-    partitions and not the rows, so it is the same kind of permutation at every size.
+    The rows stand in a ring in the order of a key hash, and each takes the values of the next
+    one, so every value is used exactly once and no row is its own donor (but a single one).
+    Blocks are ranges of the hash; the last row of a block takes from the first of the next
+    block that holds any, one row a block. Donors depend on keys and seed only, not on blocks,
+    partitions or cluster settings.
     """
     from pyspark.sql import Window
 
     if blocks is None:
-        blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    placed = df.withColumn(
-        "__block", (key_hash(key, seed=seed) % F.lit(blocks)).cast("int")
-    ).withColumn("__pos", key_hash(key, seed=seed + 1_000_003))
-    order = Window.partitionBy("__block").orderBy("__pos", key)
+        blocks = max(1, -(-df.count() // BLOCK_ROWS))
+    step = -(-(1 << 60) // blocks)  # hashes lie below 2^60
+    placed = df.withColumn("__h", key_hash(key, seed=seed)).withColumn("__block", F.expr(f"__h div {step}L"))
     values = F.struct(*cols)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    donor = F.coalesce(F.lead(values).over(order), F.first(values).over(whole))
-    return placed.withColumn("donor", donor).drop("__block", "__pos")
+    order = Window.partitionBy("__block").orderBy("__h", key)
+    firsts = placed.groupBy("__block").agg(F.min_by(values, F.struct("__h", key)).alias("__first"))
+    ring = Window.orderBy("__block")  # one row a block
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = firsts.select("__block", F.coalesce(F.lead("__first").over(ring), F.first("__first").over(whole)).alias("__carry"))
+    inner = placed.withColumn("__next", F.lead(values).over(order))
+    joined = inner.join(small(carry), "__block")
+    return joined.withColumn("donor", F.coalesce("__next", "__carry")).drop("__h", "__block", "__next", "__carry")

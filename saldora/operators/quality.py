@@ -301,6 +301,20 @@ def profile(df: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
+# Standard error of a distinct-count sketch of 2^14 registers, relative to the count.
+SKETCH_ERROR = 1.04 / 2**7
+
+
+def sketch_check(df: DataFrame, errors: float = 4.0) -> DataFrame:
+    """(column, distinct_count, estimate, within): the sketches of the approximate profile against
+    exact counts; ``within`` tells that they differ by no more than ``errors`` standard errors."""
+    estimates = profile(df, approx=True).select("column", F.col("distinct_count").alias("estimate"))
+    exact = distinct_counts(df, df.columns)
+    both = estimates.join(exact, "column", "left").withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0).cast("long")))
+    bound = F.col("distinct_count") * (errors * SKETCH_ERROR) + 1
+    return both.select("column", "distinct_count", "estimate", (F.abs(F.col("estimate") - F.col("distinct_count")) <= bound).alias("within"))
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, distinct_count) of the columns that hold a value; values by their text."""
     from saldora.operators.relational import long_values

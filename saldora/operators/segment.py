@@ -8,13 +8,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldora.functions.expr import key_hash, round_to, safe_asinh
+from saldora.operators.clusters import Run, fit_all, nearest
 from saldora.operators.rank import group_median
 from saldora.operators.relational import with_group_values
 from saldora.session import local_frame, right_size, small
@@ -85,45 +86,38 @@ def as_vector(df: DataFrame, cols: Sequence[str], out: str = "features") -> Data
 
 @dataclass
 class Clustering:
-    model: KMeansModel
+    """The best run; cluster i is segment i, segment 0 the largest."""
+
+    centres: np.ndarray
+    sizes: list[int]
     cost: float
     costs: list[float]
-    order: list[int]  # model's cluster id at each stable segment id
+    steps: int
+
+    def label(self, df: DataFrame, out: str = "segment", point: Column | None = None) -> DataFrame:
+        """Add the segment, an expression over ``point`` (by default the ``features`` vector)."""
+        return df.withColumn(out, nearest(vector_to_array("features") if point is None else point, self.centres))
 
-    def label(self, df: DataFrame, out: str = "segment") -> DataFrame:
-        """Add the segment; segment 0 is the largest."""
-        names = F.create_map(
-            *[x for new, old in enumerate(self.order) for x in (F.lit(old), F.lit(new))]
-        )
-        return (
-            self.model.setPredictionCol("__c")
-            .transform(df)
-            .withColumn(out, names[F.col("__c")].cast("int"))
-            .drop("__c")
-        )
+
+def best_of(runs: Sequence[Run]) -> Clustering:
+    """The run of least cost, with cluster ids made stable by size."""
+    best = min(runs, key=lambda r: r.cost)
+    order = sorted(range(len(best.sizes)), key=lambda c: (-best.sizes[c], tuple(best.centres[c])))
+    return Clustering(
+        best.centres[order], [int(best.sizes[c]) for c in order], best.cost, [r.cost for r in runs],
+        max(r.steps for r in runs),
+    )
 
 
 def kmeans(
-    vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, max_iter: int = 300
+    vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, max_iter: int = 300,
+    key: str | None = None,
 ) -> Clustering:
-    """Best of several seeded k-means runs, with cluster ids made stable by size.
+    """Best of several seeded k-means runs, all of them in the same passes.
 
-    ``vectors`` needs a ``features`` column and should be persisted by the caller: every
-    restart iterates over it.
+    ``vectors`` needs a ``features`` column and should be persisted by the caller.
     """
-    best, costs = None, []
-    for i in range(restarts):
-        model = KMeans(
-            k=k, initMode="k-means||", seed=seed + i, maxIter=max_iter, featuresCol="features"
-        ).fit(vectors)
-        costs.append(float(model.summary.trainingCost))
-        if best is None or costs[-1] < best[1]:
-            best = (model, costs[-1])
-    model, cost = best
-    sizes = model.summary.clusterSizes
-    centres = model.clusterCenters()
-    order = sorted(range(len(sizes)), key=lambda c: (-sizes[c], tuple(centres[c])))
-    return Clustering(model, cost, costs, order)
+    return best_of(fit_all(vectors, vector_to_array("features"), [k], restarts, seed, max_iter, key)[k])
 
 
 def evaluate_k(
@@ -135,21 +129,24 @@ def evaluate_k(
     restarts: int = RESTARTS,
     seed: int = SEED,
 ) -> DataFrame:
-    """(k, silhouette, davies_bouldin, silhouette_squared, cost, cluster_sizes) per k."""
+    """(k, silhouette, davies_bouldin, silhouette_squared, cost, cluster_sizes) per k.
+
+    All restarts for all k share their passes over the rows.
+    """
     spark = scaled.sparkSession
     rows = assert_complete(scaled, cols)
     vectors = right_size(as_vector(scaled.select(key, *cols), cols), rows).persist()
     try:
         out = []
-        for k in range(k_min, k_max + 1):
-            best = kmeans(vectors, k, restarts, seed)
+        found = fit_all(vectors, vector_to_array("features"), range(k_min, k_max + 1), restarts, seed, key=key)
+        for k, runs in found.items():
+            best = best_of(runs)
             labelled = best.label(vectors, "label")
             sil = silhouette(labelled, cols, "label", key).first()["silhouette"]
             db = davies_bouldin(labelled, cols, "label").first()["davies_bouldin"]
             # squared-Euclidean variant over all rows, linear in the data
             squared = ClusteringEvaluator(predictionCol="label").evaluate(labelled)
-            sizes = [best.model.summary.clusterSizes[c] for c in best.order]
-            out.append((k, sil, db, float(squared), best.cost, [int(n) for n in sizes]))
+            out.append((k, sil, db, float(squared), best.cost, best.sizes))
     finally:
         vectors.unpersist()
     return local_frame(
@@ -171,7 +168,7 @@ def segment_customers(
     vectors = as_vector(scaled, FEATURES).select(key, "features")
     vectors = right_size(vectors, rows).persist()
     try:
-        best = kmeans(vectors, k, restarts, seed)
+        best = kmeans(vectors, k, restarts, seed, key=key)
     finally:
         vectors.unpersist()
     return best.label(vectors, "segment").select(key, "segment")

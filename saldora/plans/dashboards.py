@@ -5,11 +5,15 @@ Track A and track B extracts never share a filter: each takes the frame of its t
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldora.functions.expr import round_to
 from saldora.functions.metrics import adopted, metric
+from saldora.operators.keys import join_keys
+from saldora.operators.rank import group_median
 from saldora.operators.stats import two_proportion
 from saldora.plans import track_a, track_b
 
@@ -94,3 +98,40 @@ def churn_by_recency(profile: DataFrame, where: Column | str | None = None) -> D
 
 def balance_context(secondary: DataFrame, where: Column | str | None = None) -> DataFrame:
     return track_b.adoption_by_balance_quartile(_where(secondary, where))
+
+
+def grain_extract(
+    df: DataFrame, grains: Sequence[Sequence[str]], filters: Mapping[str, Column | None],
+    measures: Sequence[str], median: str | None = None,
+) -> DataFrame:
+    """(filter, grain, dimensions, measures[, median]) for every filter and grain in one scan.
+
+    ``grains`` are lists of dimensions (the empty one is the total), ``filters`` named conditions
+    (None: all rows). A row counts in every filter it meets; all grains are grouping sets of one
+    aggregation, whose partial states combine on the map side. Dimensions that a grain does not
+    have are null; ``grain`` names those it has. The median is exact: sketches of all groups in
+    one pass bracket it, one more pass selects it.
+    """
+    dims = list(dict.fromkeys(d for g in grains for d in g))
+    names = F.array_compact(F.array(*[
+        F.lit(n) if c is None else F.when(c, F.lit(n)) for n, c in filters.items()
+    ]))
+    rows = df.withColumn("filter", F.explode(names))
+    has = F.array(*[F.when(F.grouping(d) == 0, F.lit(d)) for d in dims]) if dims else F.array().cast("array<string>")
+    sets = [[F.col("filter"), *map(F.col, g)] for g in grains]
+    out = rows.groupingSets(sets, "filter", *dims).agg(
+        F.array_join(F.array_compact(has), ",").alias("grain"), *[metric(m) for m in measures]
+    )
+    if median is None:
+        return out.select("filter", "grain", *dims, *measures)
+    each = F.array(*[
+        F.struct(
+            F.lit(",".join(d for d in dims if d in g)).alias("grain"),
+            *[(F.col(d) if d in g else F.lit(None).cast(df.schema[d].dataType)).alias(f"__{i}") for i, d in enumerate(dims)],
+        )
+        for g in grains
+    ])
+    keys = ["filter", "grain", *[f"__{i}" for i in range(len(dims))]]
+    found = group_median(rows.select("filter", median, F.inline(each)), median, keys, "median")
+    found = found.withColumnsRenamed({f"__{i}": d for i, d in enumerate(dims)})
+    return join_keys(out, found, ["filter", "grain", *dims], "left").select("filter", "grain", *dims, *measures, "median")

@@ -118,6 +118,23 @@ def test_donors_permute_all_rows(spark):
     assert abs(np.corrcoef(pdf.k, pdf.d)[0, 1]) < 0.06
 
 
+def test_no_row_is_its_own_donor(spark):
+    """Three hundred rows in two hundred shuffle partitions, and in any number of blocks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = spark.range(300).select(F.col("id").alias("k"))
+        found = []
+        for blocks in (None, 1, 7, 200, 5000):
+            out = {r["k"]: r["donor"]["k"] for r in ev.shuffled_donors(df, ["k"], "k", seed=3, blocks=blocks).collect()}
+            assert sorted(out.values()) == list(range(300)) and all(k != d for k, d in out.items())
+            found.append(out)
+        assert all(f == found[0] for f in found)
+        assert ev.shuffled_donors(df.limit(1), ["k"], "k", seed=3).first()["donor"]["k"] == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_importance_of_a_constant_is_zero(spark):
     df = _toy(spark)
     fitted = md.fit_models(df, SPEC, names=[md.TREE])[md.TREE]

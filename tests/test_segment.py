@@ -4,7 +4,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from saldora.operators import segment as sg
+from saldora.operators.clusters import fit_all, unmoved
 
 RNG = np.random.default_rng(9)
 
@@ -67,3 +70,30 @@ def test_missing_inputs_are_refused(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [1.0, None]}).astype(object).where(lambda d: d.notna(), None), "a double")
     with pytest.raises(ValueError, match="missing"):
         sg.assert_complete(df, ["a"])
+
+
+def test_all_runs_share_their_passes(blobs):
+    """Each run of a joint fit ends where it does by itself, and where plain numpy ends."""
+    pdf, df = blobs
+    point = F.array("a", "b")
+    df = df.persist()
+    joint = fit_all(df, point, [2, 3], 3, 5, key="k")
+    x = pdf[["a", "b"]].to_numpy()
+    for k, runs in joint.items():
+        alone = fit_all(df, point, [k], 3, 5, key="k")[k]
+        for run, single in zip(runs, alone):
+            assert run.cost == pytest.approx(single.cost, rel=1e-9) and run.steps == single.steps
+            own = ((x[:, None] - run.centres[None]) ** 2).sum(2)
+            assert run.cost == pytest.approx(own.min(axis=1).sum(), rel=1e-9)
+            label = own.argmin(axis=1)
+            assert run.sizes.tolist() == np.bincount(label, minlength=k).tolist()
+            assert run.centres == pytest.approx(np.array([x[label == c].mean(axis=0) for c in range(k)]), abs=1e-6)
+        moved = unmoved(df, point, runs[0].centres).collect()
+        assert sum(r["rows"] for r in moved) == len(pdf) and max(r["moved"] for r in moved) < 1e-6
+    df.unpersist()
+
+
+def test_more_clusters_than_points(spark):
+    df = spark.createDataFrame(pd.DataFrame({"k": [1, 2, 3], "a": [1.0, 1.0, 5.0]}))
+    run = fit_all(df, F.array("a"), [4], 1, 0, key="k")[4][0]
+    assert run.cost == 0.0 and sum(run.sizes) == 3
