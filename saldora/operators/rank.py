@@ -316,19 +316,37 @@ def with_ntile(
     """``ntile(tiles) OVER (PARTITION BY partition ORDER BY by NULLS LAST, key)``.
 
     Finds the tile boundaries by selection and labels rows by comparison: rows are
-    not sorted and not shuffled. They are stored once, as selection reads them more than
+    not sorted and not shuffled (of more than ``MAX_PARTITIONS`` groups this holds for the large
+    ones). They are stored once, as selection reads them more than
     once, so hand over the columns that are wanted only.
     """
     order = "__ntile_by"
     numeric = materialise(
         df.withColumn(order, F.coalesce(F.col(by).cast("double"), F.lit(float("inf"))))
     )
-    cuts = cut_points(
-        numeric, order, key, lambda counts: {g: tile_ends(n, tiles) for g, n in counts.items()},
-        partition,
-    )
-    tile = passed_cuts(cuts, order, key, partition) + F.lit(1)
-    return numeric.withColumn(out, tile.cast("long")).drop(order)
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        cuts = cut_points(
+            rows, order, key, lambda counts: {g: tile_ends(n, tiles) for g, n in counts.items()}, partition
+        )
+        tile = passed_cuts(cuts, order, key, partition) + F.lit(1)
+        return rows.withColumn(out, tile.cast("long")).drop(order)
+
+    sizes = numeric.groupBy(*partition).agg(F.count(F.lit(1)).alias("__n")) if partition else None
+    if sizes is None or sizes.limit(MAX_PARTITIONS + 1).count() <= MAX_PARTITIONS:
+        return labelled(numeric)
+    # many groups: those above an equal share are fewer than MAX_PARTITIONS and keep the way
+    # above; each of the others is small beside all rows, and a window orders it
+    large = sizes.filter(F.col("__n") > numeric.count() // MAX_PARTITIONS).collect()
+    in_large = F.lit(False)
+    for r in large:
+        own = F.lit(True)
+        for name in partition:
+            own = own & F.col(name).eqNullSafe(F.lit(r[name]))
+        in_large = in_large | own
+    window = Window.partitionBy(*partition).orderBy(order, key)
+    rest = numeric.filter(~in_large).withColumn(out, F.ntile(tiles).over(window).cast("long")).drop(order)
+    return labelled(numeric.filter(in_large)).unionByName(rest) if large else rest
 
 
 # ------------------------------------------------------------- prefix sums

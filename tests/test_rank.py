@@ -118,3 +118,22 @@ def test_small_falls_back_beyond_its_bound(spark):
     df = spark.range(100)
     assert small(df, max_rows=99) is df
     assert small(df, max_rows=100) is not df
+
+
+def test_tiles_of_many_groups(spark):
+    """More groups than cut points can be written for; one of them holds a third of the rows."""
+    draw = np.random.default_rng(12)
+    n = 3000
+    groups = [None if i % 3 == 0 else int(draw.integers(0, 400)) for i in range(n)]
+    rows = [(i, None if i % 17 == 0 else float(draw.integers(0, 9)), g) for i, g in enumerate(groups)]
+    df = local_frame(spark, rows, "k long, v double, g long")
+    got = {r["k"]: r["t"] for r in rk.with_ntile(df, 4, "v", "k", "t", ["g"]).collect()}
+    assert len(got) == n
+    by_group = {}
+    for k, v, g in rows:
+        by_group.setdefault(g, []).append((v is None, v or 0.0, k))
+    for own in by_group.values():
+        own.sort()
+        ends = [0, *rk.tile_ends(len(own), 4), len(own)]
+        for tile in range(4):
+            assert all(got[k] == tile + 1 for _, _, k in own[ends[tile] : ends[tile + 1]])
