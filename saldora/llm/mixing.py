@@ -191,22 +191,22 @@ def draw_mix(
     doc_id, source, size, source_size, target, ``pieces`` (shard, pass, first word, words)
     and ``taken``, the sum of the pieces' words. ``carried`` columns of ``docs`` are kept.
     """
-    plain = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), word_count().alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text")).alias("place"),
-        F.xxhash64(F.lit(seed + 2), F.col("text")).alias("tie"),
-        *[F.col(c).alias(f"__c_{c}") for c in carried],
-    )
-    sized = plain if carried else materialise(plain)
-    narrow = sized.select("doc_id", "source", "size", "place", "tie") if not carried else materialise(
-        sized.select("doc_id", "source", "size", "place", "tie")
-    )
+    # a row is known by two hashes of its text, one of them with its id, and one of its source
+    # and of what is carried
+    known = {
+        "place": F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("text")),
+        "tie": F.xxhash64(F.lit(seed + 2), F.col("text")), "kind": F.xxhash64(F.lit(seed), F.col("source"), *map(F.col, carried)),
+    }
+    keys = [c.alias(n) for n, c in known.items()]
+    narrow = materialise(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), word_count().alias("size"), *keys
+    ))
     plan = F.broadcast(source_plan(narrow, weights, share, passes, shards, seed))
     # as many hash ranges as rows in a range
     ranges = 1 << max(0, math.ceil(math.log2(max(1, narrow.count())) / 2))
     part = F.shiftright(F.col("place"), 64 - int(math.log2(ranges))) if ranges > 1 else F.lit(0).cast("long")
-    ranged = sized.withColumn("part", part)
-    sums = narrow.withColumn("part", part).groupBy("source", "part").agg(F.sum("size").alias("words"))
+    ranged = narrow.withColumn("part", part)
+    sums = ranged.groupBy("source", "part").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
         F.col("source").alias("__source"), F.col("part").alias("__part"),
@@ -238,13 +238,17 @@ def draw_mix(
         f" 'words', least(at + size, s.b * {BLOCK_WORDS} + {kept}) - greatest(at, s.b * {BLOCK_WORDS}))),"
         " x -> x.words > 0))))[0]"
     )
-    return (
-        taken.withColumn("pieces", pieces)
-        .withColumn("taken", F.expr("aggregate(pieces, 0L, (a, x) -> a + x.words)"))
-        .select(
-            "doc_id", "source", "size", "source_size", "target", "taken", "pieces",
-            *[F.col(f"__c_{c}").alias(c) for c in carried],
-        )
+    drawn = taken.withColumn("pieces", pieces).withColumn(
+        "taken", F.expr("aggregate(pieces, 0L, (a, x) -> a + x.words)")
+    )
+    if carried:
+        # the carried columns move once: one row of each kind of equal rows meets all of them
+        whole = docs.select(*keys, *[F.col(c).alias(f"__c_{c}") for c in carried])
+        whole = whole.groupBy(*known).agg(*[F.first(f"__c_{c}").alias(f"__c_{c}") for c in carried])
+        drawn = drawn.join(whole, list(known))
+    return drawn.select(
+        "doc_id", "source", "size", "source_size", "target", "taken", "pieces",
+        *[F.col(f"__c_{c}").alias(c) for c in carried],
     )
 
 
