@@ -18,7 +18,7 @@ from saldora.functions.expr import key_hash, round_to, safe_asinh
 from saldora.operators.clusters import Run, fit_all, nearest
 from saldora.operators.rank import group_median
 from saldora.operators.relational import with_group_values
-from saldora.session import local_frame, right_size, small
+from saldora.session import local_frame, materialise, right_size, small
 
 # Inputs of the segmentation and the chosen number of segments.
 FEATURES = [
@@ -162,7 +162,7 @@ def segment_customers(
     key: str = "customer_id",
 ) -> DataFrame:
     """(key, segment) for every row: features, scaling, best k-means, stable labels."""
-    feats = segment_features(df, key)
+    feats = materialise(segment_features(df, key))
     rows = assert_complete(feats, FEATURES)
     scaled, _ = standardise(feats, FEATURES)
     vectors = as_vector(scaled, FEATURES).select(key, "features")
