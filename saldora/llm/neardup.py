@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from saldora.llm.components import connected
 from saldora.llm.rows import unused
-from saldora.llm.textbytes import mix, slices, window_hashes, word_hashes, words
+from saldora.llm.textbytes import SLICE_BYTES, mix, slices, window_hashes, word_hashes, words
 from saldora.session import materialise
 
 SHINGLE = 5
@@ -56,6 +56,7 @@ STRAYS = 512
 MEMBERS = 2_048
 BLOCK_SHINGLES = 1 << 20
 _DOCS = 1 << 12  # documents in one sort key
+_PAIRS = 1 << 14  # pairs of a block that are looked at together
 _CODE_BITS = 52
 
 
@@ -139,7 +140,7 @@ def probability_jaccard(a: np.ndarray, u: np.ndarray, b: np.ndarray, v: np.ndarr
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]):
-    for rows, data, offsets in slices(batches):
+    for rows, data, offsets in slices(batches, most=SLICE_BYTES >> 2):
         for at in range(0, rows.num_rows, _DOCS):
             to = min(rows.num_rows, at + _DOCS)
             own = offsets[at : to + 1]
@@ -285,11 +286,13 @@ def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     root[c] = c = root[root[c]]
                 return c
 
-            for a, b, x, y in zip(*(batch[k][i].as_py() for k in ("a", "b", "comp_a", "comp_b"))):
-                if find(x) != find(y) and probability_jaccard(*sets[a], *sets[b]) >= SIMILARITY:
-                    root[find(x)] = find(y)
-                    left.append(a)
-                    right.append(b)
+            pairs = [batch[k][i].values for k in ("a", "b", "comp_a", "comp_b")]
+            for at in range(0, len(pairs[0]), _PAIRS):
+                for a, b, x, y in zip(*(p.slice(at, _PAIRS).to_pylist() for p in pairs)):
+                    if find(x) != find(y) and probability_jaccard(*sets[a], *sets[b]) >= SIMILARITY:
+                        root[find(x)] = find(y)
+                        left.append(a)
+                        right.append(b)
         yield pa.RecordBatch.from_arrays(
             [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
         )
@@ -379,12 +382,12 @@ def near_duplicate_links(docs: DataFrame) -> DataFrame:
     stars = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     nearest = stars.groupBy("a").agg(F.min("b").alias("b"))
     links = materialise(verified(nearest, sets))
-    comps = connected(links)
+    comps = materialise(connected(links))
     crossing = _with_class(_with_class(stars.distinct(), comps, "a", "comp_a"), comps, "b", "comp_b")
     second = crossing.where("comp_a != comp_b").select("a", "b").join(nearest, ["a", "b"], "left_anti")
     links = materialise(links.unionByName(verified(second, sets)))
     comps = materialise(connected(links))
-    return connected(links.unionByName(stray_links(members, comps, signed, sets)))
+    return connected(links.unionByName(materialise(stray_links(members, comps, signed, sets))))
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:

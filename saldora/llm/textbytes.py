@@ -34,7 +34,7 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base ** 0..n and the inverses, modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have[0]) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
+        size = max(1 << n.bit_length(), 1 << 16) + 1
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             x = np.full(size, b, dtype=np.uint64)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from saldora.llm import neardup
 from saldora.llm.components import connected
 from saldora.llm.queries import op4_near_duplicates
@@ -128,6 +129,19 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert found == {x: root(x) for x in linked}
     assert rows(connected(frame.limit(0))) == []
+    assert {r["node"]: r["comp"] for r in rows(connected(frame, task_links=0))} == found
+
+
+def test_few_links_need_few_stages(spark):
+    chain = spark.range(400).select((F.col("id") * 7).alias("a"), (F.col("id") * 7 + 7).alias("b"))
+    spark.sparkContext.setJobGroup("few links", "")
+    try:
+        found = rows(connected(chain))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few links")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["node"]: r["comp"] for r in found} == {7 * i: 0 for i in range(401)}
+    assert len(jobs) < 8
 
 
 def test_pairs_that_agree_in_low_bytes_of_an_earlier_band(spark):
