@@ -13,7 +13,7 @@ from saldora.operators import models as md
 from saldora.operators import rules
 from saldora.operators.folds import Prepared, prepare_folds
 from saldora.operators.resume import Run, RunError
-from saldora.session import local_frame
+from saldora.session import local_frame, materialise, spread
 
 RNG = np.random.default_rng(3)
 SPEC = ft.TrackSpec("toy", "k", ("x1", "x2", "flat"), ("flag",), ("c",))
@@ -251,3 +251,36 @@ def test_split_replay_and_importance(spark):
     want = fitted[md.FOREST].model.featureImportances.toArray()
     assert {r["feature"]: r["importance"] for r in again} == pytest.approx({i: x for i, x in enumerate(want) if x > 0}, abs=1e-9)
     df.unpersist()
+
+
+def _contacts(spark, n=300):
+    """Rows with the features of track B."""
+    spec = ft.TRACK_B
+    cells = [F.rand(i).alias(c) for i, c in enumerate(spec.numeric)]
+    cells += [(F.rand(50 + i) < 0.5).alias(c) for i, c in enumerate(spec.binary)]
+    cells += [F.when(F.rand(80 + i) < 0.4, "a").otherwise("b").alias(c) for i, c in enumerate(spec.categorical)]
+    frame = spark.range(n).select(
+        F.col("id").alias("observation_id"), (F.col("id") % 3 == 0).cast("int").alias("label"), *cells)
+    return materialise(frame)
+
+
+@pytest.mark.parametrize("query", ["f11_optimality_b", "f12_split_replay_b"])
+def test_fit_and_check_share_one_split(spark, monkeypatch, query):
+    from saldora.catalog import learning_queries as lq
+
+    rows, made, split = _contacts(spark), [], ft.stratified_split
+    monkeypatch.setattr(lq, "b_features", lambda s, d: rows)
+    monkeypatch.setattr(lq.ft, "stratified_split", lambda *a, **k: made.append(a) or split(*a, **k))
+    found = lq.BOOK.queries[query](spark, "").collect()
+    assert len(made) == 1
+    if query.startswith("f11"):
+        assert all(r["gradient"] == 0 and r["closed"] for r in found)
+    else:
+        assert found[0].asDict() == {
+            "rows": 240, "rows_in_leaves": 240, "other_rows": 0, "other_weights": 0, "other_impurity": 0, "other_gain": 0}
+
+
+def test_tasks_of_a_tree_fit_do_not_grow_with_the_rows(spark):
+    for n in (2_000, 20_000):
+        sizes = spread(spark.range(n), n, 10, 100).groupBy(F.spark_partition_id()).count().select(F.max("count")).scalar()
+        assert spark.range(1).select(sizes).first()[0] <= 110
