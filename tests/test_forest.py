@@ -98,3 +98,70 @@ def test_one_class_and_few_rows(spark):
     model = fo.fit_forest(same, [F.col(c) for c in "abc"], "label", {0: 1.0}, 20, ["k"], 3, 4, 32, 1)
     assert (model.columns["left"] == -1).all()
     assert {r["prob"] for r in model.score(same, [F.col(c) for c in "abc"], ["k"]).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("level", [0, 1, 6, 7])
+def test_tally_equals_a_count_of_each_row(level):
+    """Wide, two-valued (rare, frequent, more than a word's bits) and constant features, two blocks, closed nodes."""
+    draw = np.random.default_rng(level)
+    width = np.array([9, 1, *[2] * 70, 200, 3])
+    n, place = 700, np.where(width == 2, np.cumsum(width == 2) - 1, -1)
+    ids, depth = [0], 0
+    child, feature, cut = [], [], []
+    while depth < level:  # a whole tree but for a leaf here and there
+        below = []
+        for k in ids:
+            leaf = depth > 1 and draw.random() < 0.2
+            feature.append(0 if leaf else int(draw.choice([0, 3, 40, 71, 72])))
+            cut.append(255 if leaf else int(draw.integers(0, width[feature[-1]] - 1)))
+            child.append(-1 if leaf else 0)
+            below += [] if leaf else [0, 0]
+        ids, depth = below, depth + 1
+    size = len(child) + len(ids)
+    nxt = 1
+    for k in range(len(child)):
+        if child[k] < 0:
+            child[k] = k
+        else:
+            child[k], nxt = nxt, nxt + 2
+    feature, cut, child = np.array(feature + [0] * len(ids), np.int64), np.array(cut + [255] * len(ids), np.uint8), np.array(child + list(range(len(child), size)))
+    open_ = np.arange(size - len(ids), size)[draw.random(len(ids)) < 0.9] if level else np.array([0])
+    slots = np.full(size, -1)
+    slots[open_] = np.arange(len(open_))
+    subset = np.sort(np.argsort(draw.random((len(open_), len(width))), axis=1)[:, :9], axis=1)
+    tally = fo._Tally(5, (feature, cut, child, slots, subset), width, place)
+    starts, cells = fo._offsets(subset, width)
+    want = np.zeros(2 * cells, np.int64)
+    rarer = np.where((width == 2) & (np.arange(len(width)) % 3 == 0), 0, 1)
+    for _ in range(2):
+        bins = (draw.random((len(width), n)) * width[:, None]).astype(np.uint8)
+        y, hashes = np.sort(draw.integers(0, 2, n)), draw.integers(0, 2**63, n).astype(np.uint64)
+        words = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
+        for f in np.flatnonzero(place >= 0):
+            words[place[f] // 64] |= (bins[f] == rarer[f]).astype(np.uint64) << np.uint64(place[f] % 64)
+        tally.add(bins, int((y == 0).sum()), hashes, words, level)
+        times = fo._draws(hashes, 5)
+        for i in range(n):
+            at = 0
+            for _ in range(level):
+                at = child[at] + int(bins[feature[at], i] > cut[at])
+            if slots[at] >= 0:
+                for j, f in enumerate(subset[slots[at]]):
+                    want[2 * (starts[slots[at], j] + bins[f, i]) + y[i]] += times[i]
+    assert tally.counts(width, rarer).tolist() == want.tolist()
+
+
+def test_deep_trees_score_as_by_hand(spark):
+    df = _rows(spark, 6000).persist()
+    model = fo.fit_forest(df, [F.col(c) for c in "abc"], "label", {0: 1.0, 1: 2.0}, 6000, ["k", "label", "a", "b", "c"], 2, 10, 128, 3)
+    c = model.columns
+    assert max(steps for *_, steps in model._compiled()[1]) > fo.TOGETHER
+    for r in model.score(df, [F.col(x) for x in "abc"], ["a", "b", "c"]).limit(500).collect():
+        shares = []
+        for t in range(2):
+            at = base = np.flatnonzero(c["tree"] == t)[0]
+            while c["left"][at] >= 0:
+                at = base + (c["left"] if r["abc"[c["feature"][at]]] <= c["threshold"][at] else c["right"])[at]
+            shares.append(c["w1"][at] / (c["w0"][at] + c["w1"][at]))
+        assert r["prob"] == pytest.approx(np.mean(shares), abs=1e-12)
+    df.unpersist()

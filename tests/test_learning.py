@@ -144,6 +144,35 @@ def test_importance_of_a_constant_is_zero(spark):
     assert set(out) == set(SPEC.features)
 
 
+@pytest.mark.parametrize("name", [md.LOGISTIC, md.TREE, md.FOREST])
+def test_importance_equals_scores_of_rows_with_a_donors_column(spark, name):
+    df = _toy(spark).persist()
+    fitted = md.fit_models(df, SPEC, trees=4, names=[name])[name]
+    found = {r["feature"]: r for r in md.permutation_importance(fitted, df, SPEC.features, repeats=2).collect()}
+    base = ev.average_precision(fitted.score(df)).first()["pr_auc"]
+    moved = [materialise(ev.shuffled_donors(df, SPEC.features, "k", ft.SEED + r)) for r in range(2)]
+    for c in SPEC.features:
+        drops = [base - ev.average_precision(fitted.score(m.withColumn(c, F.col(f"donor.{c}")))).first()["pr_auc"] for m in moved]
+        assert found[c]["importance_mean"] == pytest.approx(np.mean(drops), abs=1e-12)
+        assert found[c]["importance_std"] == pytest.approx(np.std(drops), abs=1e-9)
+    df.unpersist()
+
+
+def test_average_precision_reads_its_scores_once(spark):
+    """Scores cost far more than their order: the two sides of the running sums share them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    scores = spark.range(2000).select(
+        (F.col("id") % 3).cast("int").alias("m"), (F.col("id") % 2).cast("int").alias("label"), (F.col("id") * 7 % 100 / 100.0).alias("prob"))
+    out = ev.average_precision(scores.mapInArrow(score, scores.schema), ["m"], [0.2, 0.5, 0.8]).collect()
+    assert len(out) == 3 and seen.value == 2000
+
+
 def test_whole_track_run(spark):
     out = md.run_track(_toy(spark), SPEC, trees=5, folds=2, repeats=1)
     assert out["sizes"].first()["n_train"] == 320
